@@ -6,7 +6,7 @@ from importlib import import_module
 
 from riskframe.catalog.registry import ORACLES, QUERIES, Query
 
-SECTIONS = ["cleaning"]
+SECTIONS = ["cleaning", "features", "profiling", "evaluation"]
 
 
 def _load() -> None:

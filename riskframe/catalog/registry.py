@@ -30,12 +30,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded for comparison; timestamps as text."""
+def rounded(df: DataFrame, digits: int = 6, coarse: tuple[str, ...] = ()) -> DataFrame:
+    """Doubles rounded for comparison (``coarse`` ones, of great size, to 2); timestamps as text."""
     fixes = {}
     for c, t in df.dtypes:
         if t in ("double", "float"):
-            fixes[c] = F.round(c, digits)
+            fixes[c] = F.round(c, 2 if c in coarse else digits)
         elif t.startswith("timestamp"):
             fixes[c] = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
     return df.withColumns(fixes) if fixes else df
@@ -44,3 +44,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def r6(*names: str) -> str:
     """SQL list ``round(c, 6) AS c, …``."""
     return ", ".join(f"round({n}, 6) AS {n}" for n in names)
+
+
+def r2(*names: str) -> str:
+    return ", ".join(f"round({n}, 2) AS {n}" for n in names)

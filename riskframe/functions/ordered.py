@@ -101,12 +101,9 @@ def running_totals(
 
 def value_counts_long(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:
     """``(keep…, column, value, n)``: occurrences of every non-null value of numeric columns."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    )
     return (
-        df.select(*keep, pairs.alias("pair"))
-        .select(*keep, "pair.column", "pair.value")
+        df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+        .unpivot(list(keep), columns, "column", "value")
         .filter(F.col("value").isNotNull())
         .groupBy(*keep, "column", "value")
         .agg(F.count("*").alias("n"))
@@ -142,47 +139,32 @@ def quantiles_by(counts: DataFrame, keys: list[str], value: str, probs: dict[str
 
 
 @dataclass
-class ColumnSketch:
-    """What one pass learns about a numeric column: counts and an even grid of approximate quantiles."""
+class ColumnCounts:
+    """Rows of the frame and non-null values of one column."""
 
     rows: int
     present: int
-    grid: list[float]
 
 
-GRID = 1000
-ACCURACY = 20_000
+# Up to this many values a column is ranked in one window partition; beyond, it is narrowed first.
+SMALL_COLUMN = 2_000_000
+ACCURACY = 5_000
+EVERYTHING = (float("-inf"), float("inf"))
+
+Spans = dict[str, list[tuple[float, float]]]
 
 
-def sketch(df: DataFrame, columns: list[str]) -> dict[str, ColumnSketch]:
-    """Row count, non-null count and quantile grid of every column, in one aggregate."""
+def column_counts(df: DataFrame, columns: list[str]) -> dict[str, ColumnCounts]:
+    """Row and non-null counts of every column in one aggregate."""
     if not columns:
         return {}
-    probs = [i / GRID for i in range(GRID + 1)]
-    aggs = [F.count("*").alias("rows")]
-    for i, c in enumerate(columns):
-        value = F.col(c).cast("double")
-        aggs.append(F.count(c).alias(f"n{i}"))
-        aggs.append(F.percentile_approx(value, probs, ACCURACY).alias(f"g{i}"))
-    row = df.agg(*aggs).first()
-    return {c: ColumnSketch(row["rows"], row[f"n{i}"], row[f"g{i}"] or []) for i, c in enumerate(columns)}
-
-
-def _bracket(s: ColumnSketch, rank: int) -> tuple[float, float]:
-    """Values that enclose the given rank: the grid points around it, widened by the sketch's error."""
-    slack = 2 / ACCURACY
-    p = rank / max(s.present - 1, 1)
-    lo = int((p - slack) * GRID) - 1
-    hi = int((p + slack) * GRID) + 2
-    return (
-        s.grid[lo] if lo > 0 else float("-inf"),
-        s.grid[hi] if hi < GRID else float("inf"),
-    )
+    row = df.agg(F.count("*").alias("rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    return {c: ColumnCounts(row["rows"], row[f"n{i}"]) for i, c in enumerate(columns)}
 
 
-def _merge(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
+def _merge(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
     merged: list[tuple[float, float]] = []
-    for lo, hi in sorted(set(brackets)):
+    for lo, hi in sorted(set(spans)):
         if merged and lo <= merged[-1][1]:
             merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
         else:
@@ -190,62 +172,102 @@ def _merge(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return merged
 
 
+def _spans(df: DataFrame, counts: dict[str, ColumnCounts], wanted: dict[str, list[int]]) -> Spans:
+    """Value ranges that enclose the wanted ranks, from one approximate pass over all columns."""
+    slack = 2 / ACCURACY
+    probs = {}
+    for c, ranks in wanted.items():
+        shares = [r / max(counts[c].present - 1, 1) for r in ranks]
+        probs[c] = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-slack, slack)]
+    row = df.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), ps, ACCURACY).alias(f"q{i}") for i, (c, ps) in enumerate(probs.items())]
+    ).first()
+    spans = {}
+    for i, (c, ps) in enumerate(probs.items()):
+        ends = row[f"q{i}"]
+        spans[c] = _merge(
+            [
+                (EVERYTHING[0] if ps[j] <= 0 else ends[j], EVERYTHING[1] if ps[j + 1] >= 1 else ends[j + 1])
+                for j in range(0, len(ps), 2)
+            ]
+        )
+    return spans
+
+
 def values_at(
-    df: DataFrame, sketches: dict[str, ColumnSketch], ranks: dict[str, set[int]]
+    df: DataFrame, counts: dict[str, ColumnCounts], ranks: dict[str, set[int]], small: int = SMALL_COLUMN
 ) -> dict[tuple[str, int], float]:
     """Exact values at 0-based ranks among the non-null values of each column.
 
-    The sketch says between which two values a rank lies. One aggregate counts the rows below each
-    such range, and only rows inside a range are grouped and ranked, so the shuffle is a small share
-    of the table. A rank that falls outside its range (it should not) is looked up again over the
-    whole column.
+    Columns of a size known to be small are counted and ranked as they are. For larger ones an
+    approximate pass says between which two values each rank lies, one aggregate counts the rows below
+    and inside these ranges, and only rows inside a range are shuffled and ranked. A rank that falls
+    outside its range (it should not) is looked up again over the whole column.
     """
-    wanted = {c: sorted(r for r in rs if 0 <= r < sketches[c].present) for c, rs in ranks.items()}
-    brackets = {c: _merge([_bracket(sketches[c], r) for r in rs]) for c, rs in wanted.items() if rs}
-    found = _search(df, brackets, wanted)
+    wanted = {c: sorted(r for r in rs if 0 <= r < counts[c].present) for c, rs in ranks.items()}
+    wanted = {c: rs for c, rs in wanted.items() if rs}
+    if not wanted:
+        return {}
+    if max(counts[c].present for c in wanted) <= small:
+        return _search(df, {c: [EVERYTHING] for c in wanted}, wanted, {(c, 0): 0 for c in wanted}, bucketed=False)
+    spans = _spans(df, counts, wanted)
+    below, size = _count_spans(df, spans)
+    found = _search(df, spans, wanted, below, bucketed=size > small)
     missed = {c: [r for r in rs if (c, r) not in found] for c, rs in wanted.items()}
     missed = {c: rs for c, rs in missed.items() if rs}
     if missed:
-        everything = {c: [(float("-inf"), float("inf"))] for c in missed}
-        found.update(_search(df, everything, missed))
+        whole = {c: [EVERYTHING] for c in missed}
+        found.update(_search(df, whole, missed, {(c, 0): 0 for c in missed}, bucketed=True))
     return found
 
 
+def _count_spans(df: DataFrame, spans: Spans) -> tuple[dict[tuple[str, int], int], int]:
+    """Rows below every span, and the size of the fullest span."""
+    flat = [(c, i, lo, hi) for c, bs in spans.items() for i, (lo, hi) in enumerate(bs)]
+    aggs = []
+    for j, (c, _, lo, hi) in enumerate(flat):
+        value = F.col(c).cast("double")
+        aggs.append(F.count_if(value < lo).alias(f"below{j}"))
+        aggs.append(F.count_if((value >= lo) & (value <= hi)).alias(f"inside{j}"))
+    row = df.agg(*aggs).first()
+    return (
+        {(c, i): row[f"below{j}"] for j, (c, i, _, _) in enumerate(flat)},
+        max(row[f"inside{j}"] for j in range(len(flat))),
+    )
+
+
 def _search(
-    df: DataFrame, brackets: dict[str, list[tuple[float, float]]], wanted: dict[str, list[int]]
+    df: DataFrame, spans: Spans, wanted: dict[str, list[int]], below: dict[tuple[str, int], int], bucketed: bool
 ) -> dict[tuple[str, int], float]:
-    if not brackets:
-        return {}
-    spans = [(c, i, lo, hi) for c, bs in brackets.items() for i, (lo, hi) in enumerate(bs)]
-    below_row = df.agg(
-        *[F.count_if(F.col(c).cast("double") < F.lit(lo)).alias(f"b{j}") for j, (c, _, lo, _) in enumerate(spans)]
-    ).first()
-    below = {(c, i): below_row[f"b{j}"] for j, (c, i, _, _) in enumerate(spans)}
-
     def inside(c: str, i: int, lo: float, hi: float) -> Column:
         value = F.col(c).cast("double")
-        return F.when(
-            (value >= lo) & (value <= hi),
-            F.struct(F.lit(c).alias("column"), F.lit(i).alias("span"), value.alias("value")),
+        hit = F.struct(F.lit(c).alias("column"), F.lit(i).alias("span"), value.alias("value"))
+        return F.when((value >= lo) & (value <= hi), hit)
+
+    if all(bs == [EVERYTHING] for bs in spans.values()):
+        table = value_counts_long(df, list(spans)).withColumn("span", F.lit(0))
+    else:
+        hits = [inside(c, i, lo, hi) for c, bs in spans.items() for i, (lo, hi) in enumerate(bs)]
+        table = (
+            df.select(F.explode(F.array_compact(F.array(*hits))).alias("hit"))
+            .groupBy("hit.column", "hit.span", "hit.value")
+            .agg(F.count("*").alias("n"))
         )
-
-    counts = (
-        df.select(F.explode(F.array_compact(F.array(*[inside(*s) for s in spans]))).alias("hit"))
-        .groupBy("hit.column", "hit.span", "hit.value")
-        .agg(F.count("*").alias("n"))
-    )
-    run = running_totals(counts, ["column", "span"], ["value"], ["n"])
-    wants = df.sparkSession.createDataFrame(
-        [(c, i, r, r - below[c, i]) for c, bs in brackets.items() for i in range(len(bs)) for r in wanted[c]],
-        "column string, span int, rank long, local long",
-    )
-    hits = (
-        run.join(F.broadcast(wants), ["column", "span"])  # a few rows per column
+    if bucketed:
+        run = running_totals(table, ["column", "span"], ["value"], ["n"])
+    else:
+        order = Window.partitionBy("column", "span").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        run = table.withColumn("cum_n", F.sum("n").over(order))
+    local = {(c, i): [r - below[c, i] for r in wanted[c]] for c, bs in spans.items() for i in range(len(bs))}
+    entries = [(c, i, r) for (c, i), rs in local.items() for r in rs if r >= 0]
+    wants = df.sparkSession.createDataFrame(entries, "column string, span int, local long")
+    rows = (
+        run.join(F.broadcast(wants), ["column", "span"])  # a few ranks per column
         .filter((F.col("cum_n") - F.col("n") <= F.col("local")) & (F.col("local") < F.col("cum_n")))
-        .select("column", "rank", "value")
+        .select("column", "span", "local", "value")
         .collect()
     )
-    return {(h["column"], h["rank"]): h["value"] for h in hits}
+    return {(h["column"], h["local"] + below[h["column"], h["span"]]): h["value"] for h in rows}
 
 
 def interpolation_ranks(n: int, p: float) -> tuple[int, int, float]:
@@ -256,22 +278,21 @@ def interpolation_ranks(n: int, p: float) -> tuple[int, int, float]:
     return lo, hi, spot - lo
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+def exact_quantiles(
+    df: DataFrame, columns: list[str], probs: list[float], small: int = SMALL_COLUMN
+) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of every column; ``None`` for a column without values."""
-    sketches = sketch(df, columns)
-    ranks: dict[str, set[int]] = {}
-    for c, s in sketches.items():
-        ranks[c] = set()
-        for p in probs:
-            if s.present:
-                ranks[c].update(interpolation_ranks(s.present, p)[:2])
-    values = values_at(df, sketches, ranks)
+    counts = column_counts(df, columns)
+    ranks = {
+        c: {r for p in probs for r in interpolation_ranks(n.present, p)[:2]} if n.present else set()
+        for c, n in counts.items()
+    }
+    values = values_at(df, counts, ranks, small)
     out: dict[str, list[float | None]] = {}
-    for c, s in sketches.items():
+    for c, n in counts.items():
         out[c] = [None] * len(probs)
-        for j, p in enumerate(probs):
-            if s.present:
-                lo, hi, share = interpolation_ranks(s.present, p)
-                low, high = values[c, lo], values[c, hi]
-                out[c][j] = low + (high - low) * share
+        for j, p in enumerate(probs if n.present else []):
+            lo, hi, share = interpolation_ranks(n.present, p)
+            low, high = values[c, lo], values[c, hi]
+            out[c][j] = low + (high - low) * share
     return out

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskframe.functions.ordered import (
-    ColumnSketch,
+    ColumnCounts,
+    column_counts,
     exact_quantiles,
     interpolation_ranks,
     running_totals,
-    sketch,
     values_at,
 )
 from riskframe.functions.text import issue_month, number_from_text
@@ -306,7 +306,7 @@ class CleanStats:
         )
 
 
-def _imputed_ranks(s: ColumnSketch, fill: bool, probs: list[float]) -> set[int]:
+def _imputed_ranks(s: ColumnCounts, fill: bool, probs: list[float]) -> set[int]:
     """Ranks among present values that a median and quantiles *after* median fill can need."""
     ranks = set(interpolation_ranks(s.present, 0.5)[:2])
     n, added = (s.rows, s.rows - s.present) if fill else (s.present, 0)
@@ -319,7 +319,7 @@ def _imputed_ranks(s: ColumnSketch, fill: bool, probs: list[float]) -> set[int]:
 def fit_clean(
     df: DataFrame, exclude: tuple[str, ...] = (), max_missing: float = 50.0, every_column: bool = True, k: float = 1.5
 ) -> CleanStats:
-    """Medians, modes and fences of a typed, deduplicated frame in two passes over the numbers.
+    """Medians, modes and fences of a typed, deduplicated frame in a count pass and one ranking.
 
     The fences belong to the frame *after* median fill. Filling adds copies of the median to the sorted
     column, so each imputed order statistic is one of two present values or the median: all of them are
@@ -327,17 +327,13 @@ def fit_clean(
     ``every_column=False`` fits text modes only where this frame has nulls to fill.
     """
     numeric, text = numeric_columns(df), string_columns(df)
-    sketches = sketch(df, numeric)
-    text_present = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in text]).first() if text else {}
-    missing = {c: 100.0 * (s.rows - s.present) / s.rows if s.rows else 0.0 for c, s in sketches.items()}
-    for c in text:
-        rows = text_present["_rows"]
-        missing[c] = 100.0 * (rows - text_present[c]) / rows if rows else 0.0
+    counts = column_counts(df, numeric + text)
+    missing = {c: 100.0 * (s.rows - s.present) / s.rows if s.rows else 0.0 for c, s in counts.items()}
 
     quartiles = [0.25, 0.75]
-    usable = {c: s for c, s in sketches.items() if s.present}
+    usable = {c: counts[c] for c in numeric if counts[c].present}
     filled = {c: 0 < missing[c] <= max_missing for c in usable}
-    values = values_at(df, sketches, {c: _imputed_ranks(s, filled[c], quartiles) for c, s in usable.items()})
+    values = values_at(df, counts, {c: _imputed_ranks(s, filled[c], quartiles) for c, s in usable.items()})
 
     medians: dict[str, float | None] = {c: None for c in numeric}
     bounds: Bounds = {}
