@@ -242,13 +242,12 @@ def outlier_report(spark, sf_dir):
 
 @query(
     "outlier_rows",
-    with_("line_q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS a, quantile_cont(l_extendedprice, 0.75) AS b FROM lineitem)")
-    + """SELECT l_orderkey, l_linenumber, round(l_extendedprice, 6) AS l_extendedprice FROM lineitem, line_q
-WHERE l_extendedprice < a - 1.5 * (b - a) OR l_extendedprice > b + 1.5 * (b - a)""",
+    with_("q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM events)")
+    + """SELECT event_id, round(value, 6) AS value FROM events, q
+WHERE value < a - 1.5 * (b - a) OR value > b + 1.5 * (b - a)""",
 )
 def outlier_rows(spark, sf_dir):
-    lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return rounded(clean.iqr_outliers(lines, "l_extendedprice"))
+    return rounded(clean.iqr_outliers(fx.table(spark, sf_dir, "events").select("event_id", "value"), "value"))
 
 
 CLAMP = ["int_rate", "annual_inc", "dti", "loan_amnt"]
@@ -374,7 +373,7 @@ def rejected_requests(spark, sf_dir):
 
 @query(
     "align_columns",
-    with_(LOANS) + f"SELECT {KEY}, {r6('dti', 'annual_inc')}, 0.0 AS absent_feature, open_acc FROM loans",
+    with_(LOANS) + f"SELECT {KEY}, {r6('dti', 'annual_inc')}, 0e0 AS absent_feature, open_acc FROM loans",
 )
 def align_columns(spark, sf_dir):
     frame = fx.loans(spark, sf_dir, [KEY, "annual_inc", "dti", "open_acc", "grade"])

@@ -194,13 +194,13 @@ ONLINE_NAMES = [
     "online_encode",
     with_(LOANS, REQUEST_ROWS)
     + f"""SELECT {KEY}, {r6('loan_amnt', 'dti', 'annual_inc')},
-  CASE WHEN grade = 'A' THEN 1.0 ELSE 0.0 END AS "grade_A", CASE WHEN grade = 'Z' THEN 1.0 ELSE 0.0 END AS "grade_Z",
-  CASE WHEN home_ownership = 'RENT' THEN 1.0 ELSE 0.0 END AS "home_ownership_RENT",
-  CASE WHEN home_ownership = 'MORTGAGE' THEN 1.0 ELSE 0.0 END AS "home_ownership_MORTGAGE",
-  CASE WHEN verification_status = 'Verified' THEN 1.0 ELSE 0.0 END AS "verification_status_Verified",
-  CASE WHEN purpose = 'credit_card' THEN 1.0 ELSE 0.0 END AS "purpose_credit_card",
-  CASE WHEN initial_list_status = 'w' THEN 1.0 ELSE 0.0 END AS "initial_list_status_w",
-  CASE WHEN term = '36 months' THEN 1.0 ELSE 0.0 END AS "term_36 months", 0.0 AS not_a_feature FROM request_rows""",
+  CASE WHEN grade = 'A' THEN 1e0 ELSE 0e0 END AS "grade_A", CASE WHEN grade = 'Z' THEN 1e0 ELSE 0e0 END AS "grade_Z",
+  CASE WHEN home_ownership = 'RENT' THEN 1e0 ELSE 0e0 END AS "home_ownership_RENT",
+  CASE WHEN home_ownership = 'MORTGAGE' THEN 1e0 ELSE 0e0 END AS "home_ownership_MORTGAGE",
+  CASE WHEN verification_status = 'Verified' THEN 1e0 ELSE 0e0 END AS "verification_status_Verified",
+  CASE WHEN purpose = 'credit_card' THEN 1e0 ELSE 0e0 END AS "purpose_credit_card",
+  CASE WHEN initial_list_status = 'w' THEN 1e0 ELSE 0e0 END AS "initial_list_status_w",
+  CASE WHEN term = '36 months' THEN 1e0 ELSE 0e0 END AS "term_36 months", 0e0 AS not_a_feature FROM request_rows""",
 )
 def online_encode(spark, sf_dir):
     return rounded(features.online_encode(fx.request_rows(spark, sf_dir), ONLINE_NAMES, keep=(KEY,)))
@@ -228,7 +228,7 @@ def plain_split(spark, sf_dir):
     return mark_test(fx.table(spark, sf_dir, "orders").select(KEY), KEY, None, test_size=0.25)
 
 
-@query("folds", f"SELECT {HASH} % 5 AS fold, count(*) AS n, sum({Y}) AS positives FROM orders GROUP BY 1")
+@query("folds", f"SELECT {HASH} % 5 AS fold, count(*) AS n, CAST(sum({Y}) AS BIGINT) AS positives FROM orders GROUP BY 1")
 def folds(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders").select(KEY, fx.target_flag(F.col(KEY)).alias("y"))
     return with_fold(orders, KEY).groupBy("fold").agg(F.count("*").alias("n"), F.sum("y").alias("positives"))

@@ -125,3 +125,16 @@ request_rows AS (
   ], lambda x: x IS NOT NULL) AS errors
   FROM request_rows
 )"""
+
+REGISTRY = """
+registry AS (
+  SELECT 'model-' || o_custkey AS name, o_orderkey AS version,
+    CASE o_orderstatus WHEN 'F' THEN 'Archived' WHEN 'O' THEN 'Staging' ELSE 'Production' END AS stage,
+    CASE o_orderkey % 10 WHEN 0 THEN 'champion' WHEN 1 THEN 'challenger' END AS alias,
+    o_orderdate AS creation_ts, 'run-' || o_orderkey AS run_id
+  FROM orders
+), promotions AS (
+  SELECT name, version % 4 AS version, CASE WHEN version % 3 <> 0 THEN stage END AS stage, alias,
+    CASE WHEN version % 4 = 1 THEN 'promoted by ' || run_id END AS description, creation_ts AS ts, version AS seq
+  FROM registry
+)"""

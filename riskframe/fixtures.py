@@ -288,3 +288,75 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select("o_orderkey", "ts", "value")
     )
+
+
+RUN_METRICS = ["accuracy", "precision", "recall", "f1_score", "auc", "auc_gap", "max_positive_rate_difference"]
+
+
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8: one training run per order month, its metrics taken from the scored rows of that month.
+
+    Runs of every fifth month logged no area, runs of every seventh no precision.
+    """
+    from riskframe.operators.metrics import confusion, long_form, rates, ratio, roc_auc
+
+    rows = scored(spark, sf_dir).join(
+        table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").cast("string").alias("loan_id"), F.date_format("o_orderdate", "yyyy-MM").alias("month")
+        ),
+        "loan_id",
+    )
+    by_group = confusion(rows, keys=["month", "home_ownership"]).withColumn(
+        "rate", ratio(F.col("tp") + F.col("fp"), F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn"))
+    )
+    spread = by_group.groupBy("month").agg((F.max("rate") - F.min("rate")).alias("max_positive_rate_difference"))
+    wide = (
+        confusion(rows, keys=["month"])
+        .withColumns(rates())
+        .join(roc_auc(rows, keys=["month"]), "month")
+        .join(spread, "month")
+        .withColumn("auc_gap", F.abs(F.col("auc") - 0.8))
+    )
+    month_no = F.substring("month", 6, 2).cast("int")
+    lost = ((F.col("name") == "auc") & (month_no % 5 == 0)) | ((F.col("name") == "precision") & (month_no % 7 == 0))
+    return (
+        long_form(wide, ["month"], RUN_METRICS)
+        .filter(~lost)
+        .select(
+            F.concat(F.lit("run-"), "month").alias("run_id"),
+            F.concat(F.lit("model-"), F.substring("month", 1, 4)).alias("model"),
+            "name",
+            "value",
+            F.to_timestamp("month", "yyyy-MM").alias("ts"),
+        )
+    )
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8: model versions, one per order; the customer is the model name."""
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("model-"), F.col("o_custkey").cast("string")).alias("name"),
+        k.alias("version"),
+        F.when(F.col("o_orderstatus") == "F", "Archived")
+        .when(F.col("o_orderstatus") == "O", "Staging")
+        .otherwise("Production")
+        .alias("stage"),
+        F.when(k % 10 == 0, "champion").when(k % 10 == 1, "challenger").alias("alias"),
+        F.col("o_orderdate").cast("timestamp").alias("creation_ts"),
+        F.concat(F.lit("run-"), k.cast("string")).alias("run_id"),
+    )
+
+
+def promotion_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8: the same orders read as promotions of four versions per customer model."""
+    k = F.col("o_orderkey")
+    return registry(spark, sf_dir).select(
+        "name",
+        (k_mod := F.col("version") % 4).alias("version"),
+        F.when(F.col("version") % 3 != 0, F.col("stage")).alias("stage"),
+        "alias",
+        F.when(k_mod == 1, F.concat(F.lit("promoted by "), "run_id")).alias("description"),
+        F.col("creation_ts").alias("ts"),
+        F.col("version").alias("seq"),
+    )

@@ -195,7 +195,9 @@ def fill_nulls(df: DataFrame, fills: dict[str, float | str | None]) -> DataFrame
 def residual_median_fill(df: DataFrame, medians: dict[str, float | None] | None = None) -> DataFrame:
     """Numeric nulls take the median: of this frame, or as fitted on the training frame."""
     if medians is None:
-        medians = {c: q[0] for c, q in exact_quantiles(df, numeric_columns(df), [0.5]).items()}
+        counts = column_counts(df, numeric_columns(df))
+        gaps = [c for c, n in counts.items() if n.present < n.rows]
+        medians = {c: q[0] for c, q in exact_quantiles(df, gaps, [0.5]).items()}
     return fill_nulls(df, medians)
 
 

@@ -124,7 +124,7 @@ REQUEST_RULES = [
 REQUEST_SCHEMA = ", ".join(f"{r.field} {r.type}" for r in REQUEST_RULES)
 
 PREDICTION_SCHEMA = (
-    "loan_id string, prediction int, probability_default double, probability_paid double, risk_level string, "
+    "loan_id string, prediction int, probability_default double, probability_repayment double, risk_level string, "
     "model_type string, model_name string, model_version string, features_source string, predicted_at timestamp"
 )
 
