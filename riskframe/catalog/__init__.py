@@ -6,7 +6,7 @@ from importlib import import_module
 
 from riskframe.catalog.registry import ORACLES, QUERIES, Query
 
-SECTIONS = ["cleaning", "features", "profiling", "evaluation", "governance", "monitoring", "serving", "streams"]
+SECTIONS = ["cleaning", "features", "profiling", "evaluation", "governance", "monitoring", "serving", "streams", "models"]
 
 
 def _load() -> None:

@@ -85,6 +85,19 @@ def gate_fairness(gaps: DataFrame, limit: float = MAX_DISPARITY, threshold: floa
     )
 
 
+def gate_fairness_checks(gaps: DataFrame, limit: float = MAX_DISPARITY) -> DataFrame:
+    """The fairness gate in the shape of the other gates."""
+    verdict = gate_fairness(gaps, limit)
+    return verdict.select(
+        F.lit("fairness").alias("check"),
+        F.col("over_limit").cast("double").alias("value"),
+        F.lit("<=").alias("op"),
+        F.lit(0.0).alias("bound"),
+        "passed",
+        F.when(F.col("passed"), "info").otherwise("error").alias("severity"),
+    )
+
+
 def promotion_checklist(metrics: DataFrame, limits: list[Limit] = PROMOTION_LIMITS) -> DataFrame:
     return check_limits(metrics, limits)
 
