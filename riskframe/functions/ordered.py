@@ -9,12 +9,13 @@ row's values only, so a recomputed task always agrees with the first run.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 500_000
-MAX_CUTS = 4095
+MAX_CUTS = 16383
 
 
 def _search_steps(max_cuts: int) -> list[int]:
@@ -22,17 +23,31 @@ def _search_steps(max_cuts: int) -> list[int]:
     return [1 << i for i in range(bits - 1, -1, -1)]
 
 
-def cut_points(df: DataFrame, order: Column, rows_per_bucket: int, max_cuts: int = MAX_CUTS) -> Column:
+def _kept(condition: Column, counted: list[str] | None) -> Column:
+    """The condition, tied to the aggregated columns so that it is not moved below the aggregation.
+
+    Moved there it would run on every source row and change the plan below the shuffle; kept above, all
+    readers of the aggregated table share one shuffle.
+    """
+    if not counted:
+        return condition
+    return F.when(reduce(lambda a, b: a + b, [F.col(c) * 0 for c in counted]) == 0, condition)
+
+
+def cut_points(
+    df: DataFrame, order: Column, rows_per_bucket: int, counted: list[str] | None = None, max_cuts: int = MAX_CUTS
+) -> Column:
     """Sorted sample of ``order`` values as a scalar subquery: about one per ``rows_per_bucket`` rows.
 
-    The sample is chosen by hash, so the filter runs at the scan and at most ``max_cuts`` values leave
-    the executors. Small tables yield no cut, hence one bucket.
+    The sample is chosen by hash and at most ``max_cuts`` values leave the executors. Small tables yield
+    no cut, hence one bucket.
     """
     point = order.alias("point")
     rank = F.xxhash64("point")
     sample = (
-        df.select(point)
-        .filter(F.pmod(rank, F.lit(rows_per_bucket)) == 0)
+        df.select(point, *(counted or []))
+        .filter(_kept(F.pmod(rank, F.lit(rows_per_bucket)) == 0, counted))
+        .select("point")
         .distinct()
         .orderBy(rank, "point")
         .limit(max_cuts)
@@ -42,26 +57,39 @@ def cut_points(df: DataFrame, order: Column, rows_per_bucket: int, max_cuts: int
 
 def with_bucket(
     df: DataFrame,
+    keys: list[str],
     order: list[str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    name: str = "bucket",
+    counted: list[str] | None = None,
 ) -> DataFrame:
-    """Add the number of cut points at or below the row's ``order`` tuple (binary search)."""
-    point = F.struct(*order)
-    cuts = cut_points(df, point, rows_per_bucket)
+    """Add ``bucket``, the number of cut points at or below the row's (keys, order) tuple, and ``split``.
+
+    ``split`` says that a neighbouring cut point has the same key, so that the key may lie in several
+    buckets. Rows of all other keys are in one bucket and need nothing from another.
+    """
+    cuts = cut_points(df, F.struct(*keys, *order), rows_per_bucket)
+    at, cut = F.col("bucket"), F.col("_cuts")
     steps = F.array(*[F.lit(s) for s in _search_steps(MAX_CUTS)])
     found = F.aggregate(
         steps,
         F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= F.size("_cuts")) & (F.get(F.col("_cuts"), at + step - 1) <= F.col("_point")),
-            at + step,
-        ).otherwise(at),
+        lambda low, step: F.when(
+            (low + step <= F.size(cut)) & (F.get(cut, low + step - 1) <= F.col("_point")), low + step
+        ).otherwise(low),
     )
+
+    def same_key(index: Column) -> Column:
+        neighbour = F.get(cut, index)
+        match = neighbour.isNotNull()
+        for k in keys:
+            match = match & neighbour.getField(k).eqNullSafe(F.col(k))
+        return F.coalesce(match, F.lit(False))
+
     # coalesce keeps the bucket non-nullable, otherwise a join on it plants a null filter in the scan
     return (
-        df.withColumns({"_cuts": cuts, "_point": point})
-        .withColumn(name, F.coalesce(found, F.lit(0)))
+        df.withColumns({"_cuts": cuts, "_point": F.struct(*keys, *order)})
+        .withColumn("bucket", F.coalesce(found, F.lit(0)))
+        .withColumn("split", same_key(at - 1) | same_key(at))
         .drop("_cuts", "_point")
     )
 
@@ -78,24 +106,35 @@ def running_totals(
     ``df`` holds one row per (keys, order), with no null key: aggregate first, so that hot values
     have collapsed on the map side before anything is shuffled.
     """
-    bucketed = with_bucket(df, keys + order, rows_per_bucket)
-    part = bucketed.groupBy(*keys, "bucket").agg(*[F.sum(c).alias(c) for c in sums])
+    bucketed = with_bucket(df, keys, order, rows_per_bucket, sums)
+    # Sums of the earlier buckets, only for keys that a cut point splits: a cut point adds at most two
+    # such (key, bucket) pairs, so this side has at most 2 * MAX_CUTS rows and may be broadcast.
+    part = bucketed.filter(_kept(F.col("split"), sums)).groupBy(*keys, "bucket").agg(*[F.sum(c).alias(c) for c in sums])
     whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # at most MAX_CUTS + 1 rows per key reach this window
     offsets = part.select(
         *keys,
         "bucket",
-        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
-        *[F.sum(c).over(whole).alias(f"total_{c}") for c in sums],
-    )
-    inside = (
-        Window.partitionBy(*keys, "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        *[F.sum(c).over(before).alias(f"_before_{c}") for c in sums],
+        *[F.sum(c).over(whole).alias(f"_total_{c}") for c in sums],
     )
+    inside = Window.partitionBy(*keys, "bucket")
+    upto = inside.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        bucketed.join(offsets, [*keys, "bucket"])
-        .withColumns({f"cum_{c}": F.sum(c).over(inside) + F.col(f"_before_{c}") for c in sums})
-        .drop("bucket", *[f"_before_{c}" for c in sums])
+        bucketed.withColumns(
+            {
+                **{f"cum_{c}": F.sum(c).over(upto) for c in sums},
+                **{f"total_{c}": F.sum(c).over(inside) for c in sums},
+            }
+        )
+        .join(F.broadcast(offsets), [*keys, "bucket"], "left")
+        .withColumns(
+            {
+                **{f"cum_{c}": F.col(f"cum_{c}") + F.coalesce(f"_before_{c}", F.lit(0)) for c in sums},
+                **{f"total_{c}": F.coalesce(f"_total_{c}", f"total_{c}") for c in sums},
+            }
+        )
+        .drop("bucket", "split", *[f"_before_{c}" for c in sums], *[f"_total_{c}" for c in sums])
     )
 
 

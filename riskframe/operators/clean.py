@@ -401,31 +401,44 @@ def observed(df: DataFrame, name: str, **aggs: Column) -> tuple[DataFrame, Obser
 # --- label encoding ---------------------------------------------------------------------------
 
 
-def fit_labels(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Dictionary ``(column, value, code)``: codes 0..k−1 in value order, missing as its own class.
+@dataclass
+class LabelDict:
+    """Fitted columns and the dictionary table ``(value, code, column)``."""
+
+    columns: list[str]
+    table: DataFrame
+
 
-    The dictionary is a table, since an identifier column can have as many values as rows; codes come
-    from bucketed running counts. It is stored by column so that each lookup reads its part only.
+def label_codes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(value, code, column)``: codes 0..k−1 in value order, missing as its own class.
+
+    An identifier column can have as many values as rows, so codes come from bucketed running counts.
     """
-    columns = columns or string_columns(df)
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit(MISSING)).alias("value")) for c in columns]
+    values = (
+        df.select(*[F.coalesce(F.col(c), F.lit(MISSING)).alias(c) for c in columns])
+        .unpivot([], columns, "column", "value")
+        .groupBy("column", "value")
+        .agg(F.count("*").alias("n"))
+        .withColumn("one", F.least("n", F.lit(1)))
     )
-    values = df.select(F.explode(pairs).alias("e")).select("e.column", "e.value").distinct().withColumn("one", F.lit(1))
     codes = running_totals(values, ["column"], ["value"], ["one"])
-    coded = codes.select("value", (F.col("cum_one") - 1).cast("int").alias("code"), "column")
-    return materialize(coded, "labels", partition_by=["column"])
+    return codes.select("value", (F.col("cum_one") - 1).cast("int").alias("code"), "column")
+
+
+def fit_labels(df: DataFrame, columns: list[str] | None = None) -> LabelDict:
+    """The dictionary of the text columns, stored by column so that each lookup reads its part only."""
+    columns = columns or string_columns(df)
+    return LabelDict(columns, materialize(label_codes(df, columns), "labels", partition_by=["column"]))
 
 
-def encode_labels(df: DataFrame, labels: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def encode_labels(df: DataFrame, labels: LabelDict, columns: list[str] | None = None) -> DataFrame:
     """Replace text by its code; unseen values get −1 and columns without a dictionary stay as they are.
 
     A join per column; Spark broadcasts a dictionary only when its stored size is below the session's
     threshold and shuffles it otherwise.
     """
-    fitted = {r["column"] for r in labels.select("column").distinct().collect()}  # column names only
-    for c in [c for c in columns or string_columns(df) if c in fitted]:
-        part = labels.filter(F.col("column") == c).select(
+    for c in [c for c in columns or string_columns(df) if c in labels.columns]:
+        part = labels.table.filter(F.col("column") == c).select(
             F.col("value").alias("_value"), F.col("code").alias("_code")
         )
         joined = df.withColumn("_key", F.coalesce(F.col(c), F.lit(MISSING))).join(

@@ -59,24 +59,27 @@ def feature_lookup(
         )
     )
     order = ["_ts", "_kind", "_tie"]
-    cut = with_bucket(timeline, ["_key", *order], rows_per_bucket, "_bucket")
+    cut = with_bucket(timeline, ["_key"], order, rows_per_bucket)
 
-    # Last snapshot of the buckets before this one. Only keys that a cut point splits have such rows:
-    # there are at most as many as cut points, so the broadcast is bounded by MAX_CUTS.
-    newest = cut.groupBy("_key", "_bucket").agg(
-        F.max_by("_snap", F.when(F.col("_snap").isNotNull(), F.struct(*order))).alias("_last")
+    # Last snapshot of the buckets before this one. Only keys that a cut point splits have such rows,
+    # at most two per cut point, so the broadcast is bounded by 2 * MAX_CUTS.
+    newest = (
+        cut.filter(F.col("split") & (F.col("_kind") == 0))
+        .groupBy("_key", "bucket")
+        .agg(F.max_by("_snap", F.struct(*order)).alias("_last"))
     )
-    earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = cut.filter("split").select("_key", "bucket").distinct().join(newest, ["_key", "bucket"], "left")
+    earlier = Window.partitionBy("_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        newest.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
+        buckets.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
         .filter(F.col("_carried").isNotNull())
-        .select("_key", "_bucket", "_carried")
+        .select("_key", "bucket", "_carried")
     )
-    inside = Window.partitionBy("_key", "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_key", "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     matched = (
         cut.withColumn("_inside", F.last("_snap", ignorenulls=True).over(inside))
         .filter(F.col("_kind") == 1)
-        .join(F.broadcast(carried), ["_key", "_bucket"], "left")
+        .join(F.broadcast(carried), ["_key", "bucket"], "left")
         .select("_request.*", F.coalesce("_inside", "_carried").alias("_found"))
     )
     age = F.col(request_ts).cast("double") - F.col("_found.at").cast("double")

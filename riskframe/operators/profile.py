@@ -154,19 +154,17 @@ def histogram_by_class(
     rows = df.select(F.col(label).alias("label"), F.col(column).cast("double").alias("x")).filter(
         F.col("x").isNotNull() & F.col("label").isNotNull()
     )
-    # hot values collapse before the join; one row per class comes back
-    counts = rows.groupBy("label", "x").agg(F.count("*").alias("n"))
-    ranges = counts.groupBy("label").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("total"))
+    # one row per class: the ranges are joined to the rows, which then collapse to bins before the shuffle
+    ranges = rows.groupBy("label").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("total"))
     if common_range:
-        whole = counts.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("r")).scalar()
+        whole = rows.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("r")).scalar()
         ranges = ranges.withColumns({"lo": whole.getField("lo"), "hi": whole.getField("hi")})
-    width = (F.col("hi") - F.col("lo")) / bins
-    at = F.least(F.floor(F.try_divide(F.col("x") - F.col("lo"), width)), F.lit(bins - 1))
+    ranges = ranges.withColumn("width", (F.col("hi") - F.col("lo")) / bins).drop("hi")
+    at = F.least(F.floor(F.try_divide(F.col("x") - F.col("lo"), F.col("width"))), F.lit(bins - 1))
     return (
-        counts.join(ranges, "label")
-        .withColumns({"width": width, "bin": F.coalesce(at, F.lit(0)).cast("int")})
-        .groupBy("label", "bin")
-        .agg(F.sum("n").alias("n"), F.max("lo").alias("lo"), F.max("width").alias("width"), F.max("total").alias("total"))
+        rows.join(ranges, "label")
+        .groupBy("label", F.coalesce(at, F.lit(0)).cast("int").alias("bin"))
+        .agg(F.count("*").alias("n"), F.max("lo").alias("lo"), F.max("width").alias("width"), F.max("total").alias("total"))
         .select(
             "label",
             "bin",

@@ -1,11 +1,14 @@
-"""Dataset versions: a Parquet folder per content hash, a manifest and the statistics of each version."""
+"""Dataset versions: stored Parquet data, a manifest by content hash and the statistics of each version."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.operators.clean import numeric_columns
 from riskframe.operators.profile import content_hash, dataset_profile, describe_numeric
 from riskframe.session import materialize
 
@@ -13,18 +16,20 @@ MANIFEST = "_manifest"
 
 
 def save_version(df: DataFrame, root: str, name: str, description: str = "") -> str:
-    """Hash, profile, describe and store a frame; returns the version id (eight hash digits).
+    """Store, hash, profile and describe a frame; returns the version id (eight hash digits).
 
-    Saving the same content again yields the same id and rewrites the same folder.
+    The frame is computed once: hash and statistics are read from the stored copy. Equal content gets
+    the same id.
     """
     spark = df.sparkSession
-    hashed = content_hash(df).first()
-    version = hashed["digest"][:8]
-    path = f"{root}/{name}/version={version}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{root}/{name}/data-{uuid.uuid4().hex[:12]}"
+    df.write.mode("error").parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
+    hashed = content_hash(stored).first()
+    version = hashed["digest"][:8]
     dataset_profile(stored).write.mode("overwrite").json(f"{root}/{name}_stats/version={version}/profile")
-    describe_numeric(stored).write.mode("overwrite").json(f"{root}/{name}_stats/version={version}/numeric")
+    if numeric_columns(stored):
+        describe_numeric(stored).write.mode("overwrite").json(f"{root}/{name}_stats/version={version}/numeric")
     spark.range(1).select(
         F.lit(name).alias("name"),
         F.lit(version).alias("version"),

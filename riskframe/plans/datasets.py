@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.operators import clean, features
 from riskframe.operators.split import mark_test
+from riskframe.operators.versioning import narrowed
 from riskframe.session import materialize
 from riskframe.sources.loans import scan_loans
 from riskframe.sources.sinks import write_processed
@@ -38,9 +39,10 @@ def build_dataset(
     return write_processed(marked, destination, "_test", target)
 
 
-def reference_features(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Reference set of engineered features with the target."""
-    return features.apply_features(clean.clean_loans(df, exclude))
+def reference_features(df: DataFrame, exclude: tuple[str, ...] = (), infer_types: bool = False) -> DataFrame:
+    """Reference set of engineered features with the target; ``infer_types`` narrows text that holds numbers."""
+    out = features.apply_features(clean.clean_loans(df, exclude))
+    return narrowed(out) if infer_types else out
 
 
 def reference_encoded(df: DataFrame, target: str = "default", key: str | None = None) -> DataFrame:

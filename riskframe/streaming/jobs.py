@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,13 +41,28 @@ def feature_state(
     table = read_batches(spark, path)
     if table is None:
         return None
-    state = newest_rows(table, ["loan_id"], ["feature_ts", "batch_id"])
+    state = newest_rows(table.drop("month"), ["loan_id"], ["feature_ts", "batch_id"])
     if now is None:
         return state
     age = F.lit(now).cast("timestamp").cast("double") - F.col("feature_ts").cast("double")
     return state.filter(age < ttl)
 
 
+def _month(ts: Column) -> Column:
+    """Partition of the feature table; coarse, so that a replay of years does not shatter into files."""
+    return F.date_format(ts, "yyyy-MM")
+
+
+def _recent(requests: DataFrame, ttl: float) -> Column:
+    """Features that can still serve these requests: prunes months, then row groups by time."""
+    first = requests.agg(F.min("ts").alias("ts")).select(
+        (F.unix_timestamp("ts") - int(ttl)).alias("since"), _month(F.timestamp_seconds(F.unix_timestamp("ts") - int(ttl)))
+    ).first()
+    if first[0] is None:
+        return F.lit(True)
+    return (F.col("month") >= first[1]) & (F.col("feature_ts") >= F.timestamp_seconds(F.lit(first[0])))
+
+
 def score_batch(
     messages: DataFrame,
     batch_id: int,
@@ -68,15 +83,15 @@ def score_batch(
         write_batch(dead_letters(parsed), tables.dead_letters, batch_id)
         requests = valid_requests(parsed)
         written = read_batches(spark, tables.features)
-        # a repeated batch must not see the features it wrote itself
-        known = None if written is None else written.filter(F.col("batch_id") < batch_id)
+        # a repeated batch must not see the features it wrote itself; older months are not read
+        known = None if written is None else written.filter((F.col("batch_id") < batch_id) & _recent(requests, ttl))
         if known is None:
             looked_up = requests.withColumns(
                 {"features_source": F.lit(PAYLOAD), "feature_ts": F.lit(None).cast("timestamp")}
             )
         else:
             looked_up = feature_lookup(
-                requests, known.drop("batch_id"), request_ts="ts", request_id=message_id, ttl=ttl
+                requests, known.drop("batch_id", "month"), request_ts="ts", request_id=message_id, ttl=ttl
             )
         looked_up = looked_up.persist()
         scored = score(looked_up, champion, challenger, challenger_pct)
@@ -84,7 +99,8 @@ def score_batch(
         records = prediction_records(scored, inputs)
         write_batch(records, tables.predictions, batch_id, ["hour"])
         state = looked_up.filter(F.col("loan_id").isNotNull()).select("loan_id", F.col("ts").alias("feature_ts"), *FEATURES)
-        write_batch(newest_rows(state, ["loan_id"], ["feature_ts"]), tables.features, batch_id)
+        newest = newest_rows(state, ["loan_id"], ["feature_ts"]).withColumn("month", _month(F.col("feature_ts")))
+        write_batch(newest, tables.features, batch_id, ["month"])
         looked_up.unpersist()
     finally:
         parsed.unpersist()

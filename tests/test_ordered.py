@@ -66,5 +66,5 @@ def test_grouped_quantiles(spark):
 
 def test_buckets_actually_split(spark):
     df = spark.range(2000).select(F.col("id").cast("double").alias("v"))
-    buckets = ordered.with_bucket(df, ["v"], 20).select("bucket").distinct().count()
+    buckets = ordered.with_bucket(df, [], ["v"], 20).select("bucket").distinct().count()
     assert buckets > 20
