@@ -10,7 +10,14 @@ from riskframe.catalog.serving import SCORE_SQL, served
 from riskframe.catalog.views import LOANS, REQUEST_LOG, REQUEST_ROWS, SCORED, with_
 from riskframe.operators import service
 from riskframe.session import new_path
-from riskframe.streaming.jobs import ScoringTables, drift_stream, feature_state, score_stream
+from riskframe.streaming.jobs import (
+    ScoringTables,
+    drift_stream,
+    feature_state,
+    score_stream,
+    service_alerts,
+    service_windows_stream,
+)
 from riskframe.streaming.messages import dead_letters, drop_repeats, file_messages, parse_messages
 from riskframe.streaming.tables import newest_rows, read_batches, upsert_stream
 
@@ -127,6 +134,21 @@ def stream_windows(spark, sf_dir):
     return rounded(newest_rows(read_batches(spark, f"{root}/table"), ["window_start"]).drop("p95"))
 
 
+@query(
+    "stream_alerts",
+    with_(REQUEST_LOG, WINDOWS)
+    + """, series AS (SELECT window_start + 300 AS at, error_ratio AS value FROM rates WHERE error_ratio > 0.05)
+SELECT 'error_ratio' AS metric, s.at, round(s.value, 6) AS value,
+  CASE WHEN EXISTS (SELECT 1 FROM series x WHERE x.at = s.at - 60) THEN 'firing' ELSE 'pending' END AS state FROM series s""",
+)
+def stream_alerts(spark, sf_dir):
+    """Alerts on the error ratio from the window table a stream maintains."""
+    root = new_path(spark, "alerts")
+    log = fx.request_log(spark, sf_dir, streaming=True)
+    service_windows_stream(log, f"{root}/table", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return rounded(service_alerts(spark, f"{root}/table", {"error_ratio": 0.05}))
+
+
 @query(
     "stream_dedup",
     with_(LOANS, REQUEST_ROWS)

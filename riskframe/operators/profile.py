@@ -134,17 +134,24 @@ def default_rate_by(df: DataFrame, category: str, target: str, top: int = 10) ->
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``(a, b, corr)`` of every pair, over the rows where both are present; all pairs in one aggregate."""
+    """``(a, b, corr)`` of every pair of columns, over the rows where both are present.
+
+    Each row is read as its pairs, which collapse to one group per pair within the task; an aggregate
+    with a buffer for every pair side by side would be too wide for generated code.
+    """
     columns = columns or numeric_columns(df)
     pairs = list(combinations(columns, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    entries = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr"))
-            for i, (a, b) in enumerate(pairs)
-        ]
+
+    def pair(a: str, b: str):
+        return F.struct(
+            F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
+        )
+
+    return (
+        df.select(F.explode(F.array(*[pair(a, b) for a, b in pairs])).alias("e"))
+        .groupBy("e.a", "e.b")
+        .agg(F.corr("e.x", "e.y").alias("corr"))
     )
-    return one.select(F.explode(entries).alias("e")).select("e.*")
 
 
 def histogram_by_class(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,11 +74,3 @@ def feature_snapshot(df: DataFrame, key: str, ts: str, tie: str | None = None) -
         .agg(newest.alias("_row"), F.max(ts).alias("feature_ts"))
         .select(key, "feature_ts", F.to_json("_row").alias("features"))
     )
-
-
-def read_json_rows(path_rows: DataFrame, column: str, schema: str) -> DataFrame:
-    return path_rows.withColumn(column, F.from_json(column, schema))
-
-
-def dumps(value: dict) -> str:
-    return json.dumps(value, sort_keys=True)

@@ -12,10 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from riskframe.operators.drift import column_drift, drift_summary
 from riskframe.operators.joins import PAYLOAD, feature_lookup
 from riskframe.operators.scoring import ServedModel, score
-from riskframe.schemas import FEATURE_TTL_SECONDS, REQUEST_RULES
+from riskframe.operators.service import alerts, metric_series, request_windows_stream
+from riskframe.schemas import ALERT_LIMITS, FEATURE_TTL_SECONDS, REQUEST_RULES
 from riskframe.sources.sinks import prediction_records
 from riskframe.streaming.messages import dead_letters, parse_messages, valid_requests
-from riskframe.streaming.tables import newest_rows, read_batches, write_batch
+from riskframe.streaming.tables import newest_rows, read_batches, upsert_stream, write_batch
 
 FEATURES = [r.field for r in REQUEST_RULES if r.field != "loan_id"]
 
@@ -141,3 +142,19 @@ def drift_stream(
 
     writer = logs.writeStream.foreachBatch(monitor).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def service_windows_stream(
+    log: DataFrame, path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Keep the table of sliding request windows up to date."""
+    return upsert_stream(request_windows_stream(log), path, checkpoint, available_now)
+
+
+def service_alerts(spark: SparkSession, path: str, limits: dict[str, float] = ALERT_LIMITS) -> DataFrame | None:
+    """Alerts over the current state of the window table, for a schedule or for each batch."""
+    table = read_batches(spark, path)
+    if table is None:
+        return None
+    windows = newest_rows(table, ["window_start"])
+    return alerts(metric_series(windows, {"error_ratio": "error_ratio", "p95_latency": "p95"}), limits)

@@ -20,6 +20,22 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert ok, message
 
 
+@pytest.mark.parametrize("name", ["roc_auc", "ks_drift", "chi2_drift", "feature_lookup", "top_values", "describe_by_target",
+                                  "metrics_by_group", "data_quality", "histogram", "promotion_checklist", "alerts"])
+def test_plans_form_no_pairs(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    if name == "top_values":
+        assert "WindowGroupLimit" in plan  # ranks are cut before the shuffle
+
+
+def test_scan_reads_only_what_is_needed(spark, sf_dir):
+    plan = QUERIES["risk_level"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
+    plan = QUERIES["ks_drift"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(l_shipdate" in plan and "l_comment" not in plan
+
+
 def test_stream_drift_equals_batch(spark, sf_dir):
     rows = {r["name"]: r["value"] for r in QUERIES["stream_drift"](spark, sf_dir).collect()}
     summary = QUERIES["dataset_drift"](spark, sf_dir).first()
