@@ -11,11 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 500_000
-MAX_CUTS = 16383
+MAX_CUTS = 1023
 
 
 def _search_steps(max_cuts: int) -> list[int]:
@@ -34,52 +34,53 @@ def _kept(condition: Column, counted: list[str] | None) -> Column:
     return F.when(reduce(lambda a, b: a + b, [F.col(c) * 0 for c in counted]) == 0, condition)
 
 
-def cut_points(
-    df: DataFrame, order: Column, rows_per_bucket: int, counted: list[str] | None = None, max_cuts: int = MAX_CUTS
-) -> Column:
-    """Sorted sample of ``order`` values as a scalar subquery: about one per ``rows_per_bucket`` rows.
+def cut_points(df: DataFrame, columns: list[str], rows_per_bucket: int, max_cuts: int = MAX_CUTS) -> list[Row]:
+    """A sample of the distinct ``columns`` tuples, about one per ``rows_per_bucket``; none for a small table.
 
-    The sample is chosen by hash and at most ``max_cuts`` values leave the executors. Small tables yield
-    no cut, hence one bucket.
+    The sample is chosen by hash, so the filter runs at the scan, below any aggregation, and at most
+    ``max_cuts`` tuples reach the driver.
     """
-    point = order.alias("point")
+    point = F.struct(*columns)
     rank = F.xxhash64("point")
-    sample = (
-        df.select(point, *(counted or []))
-        .filter(_kept(F.pmod(rank, F.lit(rows_per_bucket)) == 0, counted))
-        .select("point")
+    return (
+        df.select(point.alias("point"))
+        .filter(F.pmod(rank, F.lit(rows_per_bucket)) == 0)
         .distinct()
         .orderBy(rank, "point")
         .limit(max_cuts)
+        .select("point.*")
+        .collect()
     )
-    return sample.agg(F.sort_array(F.collect_list("point")).alias("cuts")).scalar()
 
 
-def with_bucket(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    counted: list[str] | None = None,
-) -> DataFrame:
+def with_bucket(df: DataFrame, keys: list[str], order: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``bucket``, the number of cut points at or below the row's (keys, order) tuple, and ``split``.
 
     ``split`` says that a neighbouring cut point has the same key, so that the key may lie in several
     buckets. Rows of all other keys are in one bucket and need nothing from another.
     """
-    cuts = cut_points(df, F.struct(*keys, *order), rows_per_bucket)
-    at, cut = F.col("bucket"), F.col("_cuts")
-    steps = F.array(*[F.lit(s) for s in _search_steps(MAX_CUTS)])
+    columns = [*keys, *order]
+    points = cut_points(df, columns, rows_per_bucket)
+    if not points:
+        return df.withColumns({"bucket": F.lit(0), "split": F.lit(False)})
+    types = {f.name: f.dataType for f in df.select(*columns).schema}
+
+    def literal(row: Row) -> Column:
+        return F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in columns])
+
+    # a constant of the plan: as a column, the array would be copied into every row
+    cuts = F.sort_array(F.array(*[literal(row) for row in points]))
+    at = F.col("bucket")
     found = F.aggregate(
-        steps,
+        F.array(*[F.lit(s) for s in _search_steps(len(points))]),
         F.lit(0),
         lambda low, step: F.when(
-            (low + step <= F.size(cut)) & (F.get(cut, low + step - 1) <= F.col("_point")), low + step
+            (low + step <= len(points)) & (F.get(cuts, low + step - 1) <= F.col("_point")), low + step
         ).otherwise(low),
     )
 
     def same_key(index: Column) -> Column:
-        neighbour = F.get(cut, index)
+        neighbour = F.get(cuts, index)
         match = neighbour.isNotNull()
         for k in keys:
             match = match & neighbour.getField(k).eqNullSafe(F.col(k))
@@ -87,10 +88,10 @@ def with_bucket(
 
     # coalesce keeps the bucket non-nullable, otherwise a join on it plants a null filter in the scan
     return (
-        df.withColumns({"_cuts": cuts, "_point": F.struct(*keys, *order)})
+        df.withColumn("_point", F.struct(*columns))
         .withColumn("bucket", F.coalesce(found, F.lit(0)))
         .withColumn("split", same_key(at - 1) | same_key(at))
-        .drop("_cuts", "_point")
+        .drop("_point")
     )
 
 
@@ -106,7 +107,7 @@ def running_totals(
     ``df`` holds one row per (keys, order), with no null key: aggregate first, so that hot values
     have collapsed on the map side before anything is shuffled.
     """
-    bucketed = with_bucket(df, keys, order, rows_per_bucket, sums)
+    bucketed = with_bucket(df, keys, order, rows_per_bucket)
     # Sums of the earlier buckets, only for keys that a cut point splits: a cut point adds at most two
     # such (key, bucket) pairs, so this side has at most 2 * MAX_CUTS rows and may be broadcast.
     part = bucketed.filter(_kept(F.col("split"), sums)).groupBy(*keys, "bucket").agg(*[F.sum(c).alias(c) for c in sums])

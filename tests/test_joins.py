@@ -37,7 +37,7 @@ def brute(requests, snapshots, ttl):
     return out
 
 
-@pytest.mark.parametrize("rows_per_bucket", [1, 5, 40, 10**9])
+@pytest.mark.parametrize("rows_per_bucket", [5, 40, 10**9])
 @pytest.mark.parametrize("ttl", [60, 900, 100000])
 def test_lookup_against_brute_force(spark, rows_per_bucket, ttl):
     requests, snapshots, r, s = frames(spark, seed=ttl)
