@@ -1,12 +1,13 @@
 import pytest
 
 import __spark_entry__ as entry
-from riskframe import session
+from riskframe import catalog, session
 from riskframe.schemas import NA_TOKENS
 from riskframe.sources.loans import scan_loans
 from tests.compare import compare, connect
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+LIBRARY = catalog.queries(), catalog.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -51,7 +52,7 @@ def test_flagship(spark):
 
 def test_names():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {
+    assert set(LIBRARY[0]) - set(LIBRARY[1]) == {
         "stream_drift", "train_logistic_regression", "train_boosted_trees", "train_random_forest", "cv_auc",
         "random_search", "tree_attribution",
     }
