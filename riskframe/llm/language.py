@@ -22,12 +22,12 @@ LEVEL = 6
 MARGIN = 0.02
 
 
-NO_LETTERS = {i: None for i in range(128) if not chr(i).isalpha() and not chr(i).isspace()}
+NO_LETTERS = bytes(i for i in range(128) if not chr(i).isalpha() and not chr(i).isspace())
 
 
 def plain(text: str) -> bytes:
     """Lower-case words without ASCII digits and signs: case, tables and noise say nothing about the language."""
-    return " ".join(text.lower().translate(NO_LETTERS).split()).encode("utf-8", "replace")
+    return b" ".join(text.lower().encode("utf-8", "replace").translate(None, NO_LETTERS).split())
 
 
 def fit_dictionaries(

@@ -13,7 +13,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_EPOCHS = 2
-ROWS_PER_RANGE = 100_000
+ROWS_PER_RANGE = 20_000
 
 
 def word_count(text: Column) -> Column:

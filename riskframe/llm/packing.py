@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -17,10 +19,11 @@ from riskframe.session import materialize
 CAPACITY = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 700_000
+ENCODE_WORDS = 5_000
+CHUNK_CHARS = 2_000_000
 PIECES_PER_PART = 250_000
 MAX_ROUNDS = 3
-SPACE = str.maketrans("\n\t\r\x0b\x0c", "     ")
 
 
 class WordTokenizer:
@@ -30,32 +33,35 @@ class WordTokenizer:
     encoded once. The store of known words is emptied when it holds ``CACHED_WORDS``.
     """
 
+    open_tokenizers: dict[str, WordTokenizer] = {}  # of this worker process, over all its tasks
+
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on every core already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
 
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        words = text.translate(SPACE).split(" ")
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in known]
-        found = known
-        if len(known) + len(new) > CACHED_WORDS:
-            self.known = found = {"": b""}
-            new = list(dict.fromkeys(words))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                found[w] = np.asarray(e.ids, "<u4").tobytes()
-        out = b"".join([found[w] for w in words])
-        if len(found) > CACHED_WORDS:
+    @classmethod
+    def of(cls, path: str) -> WordTokenizer:
+        if path not in cls.open_tokenizers:
+            cls.open_tokenizers[path] = cls(path)
+        return cls.open_tokenizers[path]
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of every text."""
+        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]  # other white space stays inside words
+        distinct = set().union(*split)
+        if len(self.known) > CACHED_WORDS:
             self.known = {"": b""}
-        return out
+        known = self.known
+        new = list(distinct.difference(known))
+        for at in range(0, len(new), ENCODE_WORDS):
+            part = new[at : at + ENCODE_WORDS]
+            for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                known[word] = struct.pack(f"<{len(code)}I", *code.ids)
+        for words in split:
+            yield b"".join(map(known.__getitem__, words))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -64,24 +70,37 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def text_chunks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of a batch, in chunks of about ``CHUNK_CHARS``."""
+    ids, texts, size = [], [], 0
+    for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+        ids.append(doc_id), texts.append(value.as_py())
+        size += len(texts[-1])
+        if size >= CHUNK_CHARS:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: every text's ids and the end id, cut only if too long."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(path)
-        last = np.uint32(end).astype("<u4").tobytes()
+        words = WordTokenizer.of(path)
+        last = struct.pack("<I", end)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = words.ids(text.as_py()) + last
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            columns = list(zip(*rows)) or [[]] * 5
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            for doc_ids, texts in text_chunks(batch):
+                rows = []
+                for doc_id, ids in zip(doc_ids, words.ids(texts)):
+                    ids += last
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at : at + 4 * capacity]
+                        rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(cut, schema)
 
