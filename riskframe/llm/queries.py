@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import exact_dedup, language, mixing, packing, pii, quality, simhash, suffix, topk, toxicity
-from riskframe.session import configure
+from riskframe.llm.batches import prepare
 
 NEIGHBOURS = 5
 QUERY_STEP = 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    configure(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -30,8 +30,8 @@ LEFT = LENGTH - PREFIX
 FULL = LENGTH + LEFT
 PAD = 0xFF  # never a byte of UTF-8
 CHUNK = 1 << 18
-RUN_ANCHORS = 1_000_000
-RUN_SUFFIXES = 100_000
+RUN_ANCHORS = 500_000
+RUN_SUFFIXES = 50_000
 BUCKET_BYTES = 1 << 25
 RANGE_BYTES = 1 << 24
 MAX_SPLITTERS = 1 << 16
@@ -135,6 +135,7 @@ def blob_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def probe_rows(docs: np.ndarray, at: np.ndarray, hashes: np.ndarray, buckets: int) -> list[tuple]:
     """What a run of anchors sends: every hash once; hashes repeated inside the run are known as repeated here."""
+    hashes = (hashes ^ (hashes >> np.uint64(29))) * FACTORS[0]  # elected hashes are small ones: spread them again
     order = np.argsort(hashes, kind="stable")
     docs, at, hashes = docs[order], at[order], hashes[order]
     first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
