@@ -2,97 +2,47 @@
 
 A running sum over one global order, or over a key that holds a third of the rows, would put all of
 it into one window partition. Here the order is first cut into buckets; each bucket is one window
-partition, and the sums of the earlier buckets are added afterwards. A bucket is a function of the
-row's values only, so a recomputed task always agrees with the first run.
+partition, and the sums of the earlier buckets are added afterwards. The cut is written before it is
+used, so a recomputed task always agrees with the first run.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 500_000
-MAX_CUTS = 1023
-
-
-def _search_steps(max_cuts: int) -> list[int]:
-    bits = max(max_cuts, 1).bit_length()
-    return [1 << i for i in range(bits - 1, -1, -1)]
-
-
-def _kept(condition: Column, counted: list[str] | None) -> Column:
-    """The condition, tied to the aggregated columns so that it is not moved below the aggregation.
+from riskframe.session import materialize
 
-    Moved there it would run on every source row and change the plan below the shuffle; kept above, all
-    readers of the aggregated table share one shuffle.
-    """
-    if not counted:
-        return condition
-    return F.when(reduce(lambda a, b: a + b, [F.col(c) * 0 for c in counted]) == 0, condition)
-
-
-def cut_points(df: DataFrame, columns: list[str], rows_per_bucket: int, max_cuts: int = MAX_CUTS) -> list[Row]:
-    """A sample of the distinct ``columns`` tuples, about one per ``rows_per_bucket``; none for a small table.
-
-    The sample is chosen by hash, so the filter runs at the scan, below any aggregation, and at most
-    ``max_cuts`` tuples reach the driver.
-    """
-    point = F.struct(*columns)
-    rank = F.xxhash64("point")
-    return (
-        df.select(point.alias("point"))
-        .filter(F.pmod(rank, F.lit(rows_per_bucket)) == 0)
-        .distinct()
-        .orderBy(rank, "point")
-        .limit(max_cuts)
-        .select("point.*")
-        .collect()
-    )
+ROWS_PER_BUCKET = 500_000
 
 
 def with_bucket(df: DataFrame, keys: list[str], order: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``bucket``, the number of cut points at or below the row's (keys, order) tuple, and ``split``.
+    """Add ``bucket``, the row's range in the (keys, order) sort order, and ``split``.
 
-    ``split`` says that a neighbouring cut point has the same key, so that the key may lie in several
-    buckets. Rows of all other keys are in one bucket and need nothing from another.
+    The number of ranges follows the number of rows; rows of one (keys, order) tuple share a range. The
+    ranges are written once, so a recomputed task reads the same ones. ``split`` says that the key may lie in
+    several ranges; rows of all other keys need nothing from another one.
     """
-    columns = [*keys, *order]
-    points = cut_points(df, columns, rows_per_bucket)
-    if not points:
+    buckets = math.ceil(df.count() / rows_per_bucket)
+    if buckets <= 1:
         return df.withColumns({"bucket": F.lit(0), "split": F.lit(False)})
-    types = {f.name: f.dataType for f in df.select(*columns).schema}
-
-    def literal(row: Row) -> Column:
-        return F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in columns])
-
-    # a constant of the plan: as a column, the array would be copied into every row
-    cuts = F.sort_array(F.array(*[literal(row) for row in points]))
-    at = F.col("bucket")
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in _search_steps(len(points))]),
-        F.lit(0),
-        lambda low, step: F.when(
-            (low + step <= len(points)) & (F.get(cuts, low + step - 1) <= F.col("_point")), low + step
-        ).otherwise(low),
-    )
-
-    def same_key(index: Column) -> Column:
-        neighbour = F.get(cuts, index)
-        match = neighbour.isNotNull()
-        for k in keys:
-            match = match & neighbour.getField(k).eqNullSafe(F.col(k))
-        return F.coalesce(match, F.lit(False))
-
-    # coalesce keeps the bucket non-nullable, otherwise a join on it plants a null filter in the scan
-    return (
-        df.withColumn("_point", F.struct(*columns))
-        .withColumn("bucket", F.coalesce(found, F.lit(0)))
-        .withColumn("split", same_key(at - 1) | same_key(at))
-        .drop("_point")
+    ranged = df.repartitionByRange(buckets, *keys, *order).withColumn("bucket", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    if not keys:
+        return ranged.withColumn("split", F.lit(True))
+    key = F.struct(*keys)
+    edges = ranged.groupBy("bucket").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    by_bucket = Window.partitionBy(F.lit(0)).orderBy("bucket")  # one row per bucket
+    edges = edges.select(
+        "bucket",
+        F.when(F.lag("last").over(by_bucket) == F.col("first"), F.col("first")).alias("_low"),
+        F.when(F.lead("first").over(by_bucket) == F.col("last"), F.col("last")).alias("_high"),
     )
+    shared = F.coalesce(key == F.col("_low"), F.lit(False)) | F.coalesce(key == F.col("_high"), F.lit(False))
+    return ranged.join(edges, "bucket").withColumn("split", shared).drop("_low", "_high")
 
 
 def running_totals(
@@ -108,9 +58,8 @@ def running_totals(
     have collapsed on the map side before anything is shuffled.
     """
     bucketed = with_bucket(df, keys, order, rows_per_bucket)
-    # Sums of the earlier buckets, only for keys that a cut point splits: a cut point adds at most two
-    # such (key, bucket) pairs, so this side has at most 2 * MAX_CUTS rows and may be broadcast.
-    part = bucketed.filter(_kept(F.col("split"), sums)).groupBy(*keys, "bucket").agg(*[F.sum(c).alias(c) for c in sums])
+    # sums of the earlier buckets, only for keys that lie in several: at most two such keys a bucket
+    part = bucketed.filter("split").groupBy(*keys, "bucket").agg(*[F.sum(c).alias(c) for c in sums])
     whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = part.select(
@@ -128,7 +77,7 @@ def running_totals(
                 **{f"total_{c}": F.sum(c).over(inside) for c in sums},
             }
         )
-        .join(F.broadcast(offsets), [*keys, "bucket"], "left")
+        .join(offsets, [*keys, "bucket"], "left")
         .withColumns(
             {
                 **{f"cum_{c}": F.col(f"cum_{c}") + F.coalesce(f"_before_{c}", F.lit(0)) for c in sums},

@@ -34,6 +34,12 @@ def string_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     return [c for c, t in df.dtypes if t == "string" and c not in exclude]
 
 
+def as_categories(df: DataFrame) -> DataFrame:
+    """Booleans, dates and timestamps as text, times by day, so that they count as categories."""
+    day = {c: F.date_format(c, "yyyy-MM-dd") for c, t in df.dtypes if t in ("date", "timestamp", "timestamp_ntz")}
+    return df.withColumns({**day, **{c: F.col(c).cast("string") for c, t in df.dtypes if t == "boolean"}})
+
+
 def common_columns(reference: DataFrame, current: DataFrame) -> list[str]:
     """Columns both frames have, in the reference's order."""
     return [c for c in reference.columns if c in current.columns]

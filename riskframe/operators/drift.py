@@ -11,7 +11,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from riskframe.functions.ordered import running_totals
-from riskframe.operators.clean import common_columns, numeric_columns, string_columns
+from riskframe.operators.clean import as_categories, common_columns, numeric_columns, string_columns
 from riskframe.operators.metrics import evaluate
 
 ALPHA = 0.05
@@ -137,8 +137,9 @@ def column_drift(
 ) -> DataFrame:
     """``(column, test, statistic, p_value, drifted)`` over the common columns.
 
-    Roles come from the reference's types; its target is no feature.
+    Roles come from the reference's types; its target is no feature. Booleans and days are categories.
     """
+    reference, current = as_categories(reference), as_categories(current)
     columns = [c for c in common_columns(reference, current) if c != target]
     numeric = [c for c in numeric_columns(reference) if c in columns]
     text = [c for c in string_columns(reference) if c in columns]
@@ -148,6 +149,8 @@ def column_drift(
         parts.append(ks_drift(reference, current, numeric, alpha).withColumn("test", F.lit("ks")).select(*out))
     if text:
         parts.append(chi2_drift(reference, current, text, alpha).withColumn("test", F.lit("chi2")).select(*out))
+    if not parts:
+        raise ValueError("the frames have no common column to compare")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -228,9 +231,11 @@ def data_quality(
     """``(column, test, value, limit, passed)`` for the common columns.
 
     Missing share against the reference plus tolerance, numbers inside the reference's range, no new
-    category, no constant column, duplicate rows, and declared bounds.
+    category, no constant column, duplicate rows over all common columns, and declared bounds.
     """
     columns = common_columns(reference, current)
+    whole = current.select(*columns)
+    reference, current = as_categories(reference), as_categories(current)
     numeric = [c for c in numeric_columns(reference) if c in columns]
     text = [c for c in string_columns(reference) if c in columns]
     ref, cur = reference.select(*numeric, *text), current.select(*numeric, *text)
@@ -263,7 +268,7 @@ def data_quality(
             .select("column", "e.*")
         )
     repeats = (
-        cur.groupBy(*cur.columns)
+        whole.groupBy(*whole.columns)
         .agg(F.count("*").alias("_n"))
         .agg((1 - F.try_divide(F.count("*"), F.sum("_n"))).alias("share"))
         .select(

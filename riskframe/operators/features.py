@@ -138,7 +138,10 @@ def categorical_features(df: DataFrame, values: dict[str, list[str]]) -> DataFra
 
 
 def _as_timestamp(df: DataFrame, column: str) -> Column:
-    return F.try_to_timestamp(column) if dict(df.dtypes)[column] == "string" else F.col(column).cast("timestamp")
+    """Text is read as month and year (``Dec-2015``) first, then as an ISO date."""
+    if dict(df.dtypes)[column] != "string":
+        return F.col(column).cast("timestamp")
+    return F.coalesce(F.try_to_timestamp(column, F.lit("MMM-yyyy")), F.try_to_timestamp(column))
 
 
 def years_between(later: Column, earlier: Column) -> Column:

@@ -103,11 +103,11 @@ def promotion_checklist(metrics: DataFrame, limits: list[Limit] = PROMOTION_LIMI
 
 
 def all_passed(checks: DataFrame, keys: list[str] = ()) -> DataFrame:
-    """``(keys…, checks, failed, passed)``: passes when every check does."""
+    """``(keys…, checks, failed, passed)``: passes when every check does and there is one."""
     aggs = [
         F.count("*").alias("checks"),
         F.count_if(~F.col("passed")).alias("failed"),
-        F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed"),
+        ((F.count("*") > 0) & F.coalesce(F.bool_and("passed"), F.lit(True))).alias("passed"),
     ]
     return checks.groupBy(*keys).agg(*aggs) if keys else checks.agg(*aggs)
 

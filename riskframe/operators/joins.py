@@ -61,8 +61,7 @@ def feature_lookup(
     order = ["_ts", "_kind", "_tie"]
     cut = with_bucket(timeline, ["_key"], order, rows_per_bucket)
 
-    # Last snapshot of the buckets before this one. Only keys that a cut point splits have such rows,
-    # at most two per cut point, so the broadcast is bounded by 2 * MAX_CUTS.
+    # last snapshot of the buckets before this one, for keys that lie in several: at most two such keys a bucket
     newest = (
         cut.filter(F.col("split") & (F.col("_kind") == 0))
         .groupBy("_key", "bucket")
@@ -79,7 +78,7 @@ def feature_lookup(
     matched = (
         cut.withColumn("_inside", F.last("_snap", ignorenulls=True).over(inside))
         .filter(F.col("_kind") == 1)
-        .join(F.broadcast(carried), ["_key", "bucket"], "left")
+        .join(carried, ["_key", "bucket"], "left")
         .select("_request.*", F.coalesce("_inside", "_carried").alias("_found"))
     )
     age = F.col(request_ts).cast("double") - F.col("_found.at").cast("double")

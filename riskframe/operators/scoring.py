@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.hashing import hash_share
+from riskframe.functions.hashing import hash_share, row_digest
 from riskframe.schemas import RISK_HIGH, RISK_MEDIUM
 
 Scorer = Callable[[DataFrame], DataFrame]  # adds the column probability_default
@@ -26,15 +26,23 @@ class ServedModel:
 
 
 def route(
-    df: DataFrame, challenger_pct: float, key: str = "loan_id", challenger_loaded: bool = True, seed: int = 0
+    df: DataFrame,
+    challenger_pct: float,
+    key: str = "loan_id",
+    challenger_loaded: bool = True,
+    seed: int = 0,
+    request_id: str | None = None,
 ) -> DataFrame:
     """Add ``model_type``: the challenger serves the keys whose hash share is below its percentage.
 
-    With a batch identifier as ``key`` a batch goes to one model as a whole.
+    With a batch identifier as ``key`` a batch goes to one model as a whole. A request without a key is drawn by
+    its ``request_id``, or by its content if that is not given.
     """
     if not challenger_loaded:
         return df.withColumn("model_type", F.lit("champion"))
-    share = F.coalesce(hash_share(F.col(key), seed), F.lit(0.0))
+    own = F.col(request_id).cast("string") if request_id else F.lit(None).cast("string")
+    drawn = F.coalesce(F.col(key).cast("string"), own, row_digest(df))
+    share = hash_share(drawn, seed)
     return df.withColumn("model_type", F.when(share < challenger_pct / 100, "challenger").otherwise("champion"))
 
 
@@ -73,11 +81,12 @@ def score(
     challenger_pct: float = 0.0,
     key: str = "loan_id",
     seed: int = 0,
+    request_id: str | None = None,
 ) -> DataFrame:
     """Requests with their prediction: each model scores the rows routed to it."""
     if champion is None:
         raise ValueError("no champion model is loaded")
-    routed = route(requests, challenger_pct, key, challenger is not None, seed)
+    routed = route(requests, challenger_pct, key, challenger is not None, seed, request_id)
     served = {"champion": champion, **({"challenger": challenger} if challenger else {})}
     parts = []
     for model_type, model in served.items():

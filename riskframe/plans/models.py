@@ -64,7 +64,12 @@ def audit(
 
 
 def promote_job(
-    metrics: DataFrame, gaps: DataFrame, log_path: str, name: str, version: int, stage: str = "Staging", min_auc: float = 0.7
+    metrics: DataFrame, gaps: DataFrame, log_path: str, name: str, version: int, stage: str = "Staging", min_auc: float = 0.7, run_id: str | None = None
 ) -> None:
-    """Register a version after the performance and fairness gates."""
+    """Register a version after the performance and fairness gates.
+
+    With ``run_id`` only that run's metrics count; a run without metrics does not pass.
+    """
+    if run_id is not None:
+        metrics = metrics.filter(F.col("run_id") == run_id)
     promote(log_path, [gates.gate_performance(metrics, min_auc), gates.gate_fairness_checks(gaps)], name, version, stage=stage)

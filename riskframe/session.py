@@ -51,7 +51,7 @@ def work_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a shared folder before running on a cluster")
         base = tempfile.mkdtemp(prefix="riskframe-")
         spark.conf.set("spark.checkpoint.dir", base)

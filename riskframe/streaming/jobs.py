@@ -80,6 +80,7 @@ def score_batch(
     """
     spark = messages.sparkSession
     parsed = parse_messages(messages).persist()
+    looked_up = None
     try:
         write_batch(dead_letters(parsed), tables.dead_letters, batch_id)
         requests = valid_requests(parsed)
@@ -92,18 +93,19 @@ def score_batch(
             )
         else:
             looked_up = feature_lookup(
-                requests, known.drop("batch_id", "month"), request_ts="ts", request_id=message_id, ttl=ttl
+                requests, known.drop("month"), request_ts="ts", request_id=message_id, version="batch_id", ttl=ttl
             )
         looked_up = looked_up.persist()
-        scored = score(looked_up, champion, challenger, challenger_pct)
+        scored = score(looked_up, champion, challenger, challenger_pct, request_id=message_id)
         inputs = [c for c in FEATURES if c in scored.columns]
         records = prediction_records(scored, inputs)
         write_batch(records, tables.predictions, batch_id, ["hour"])
         state = looked_up.filter(F.col("loan_id").isNotNull()).select("loan_id", F.col("ts").alias("feature_ts"), *FEATURES)
         newest = newest_rows(state, ["loan_id"], ["feature_ts"]).withColumn("month", _month(F.col("feature_ts")))
         write_batch(newest, tables.features, batch_id, ["month"])
-        looked_up.unpersist()
     finally:
+        if looked_up is not None:
+            looked_up.unpersist()
         parsed.unpersist()
 
 

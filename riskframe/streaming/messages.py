@@ -59,7 +59,8 @@ def valid_requests(parsed: DataFrame, column: str = "value") -> DataFrame:
 
 def dead_letters(parsed: DataFrame, column: str = "value") -> DataFrame:
     """Rejected messages as received, with the reasons."""
-    others = [c for c in parsed.columns if c in ("ts", "event_id", "o_orderkey")]
+    fields = {r.field for r in REQUEST_RULES}
+    others = [c for c in parsed.columns if c not in fields and c not in ("errors", column)]
     return parsed.filter(F.size("errors") > 0).select(
         *others, column, F.array_join("errors", "; ").alias("reason")
     )

@@ -78,3 +78,22 @@ def test_monitor_job(spark, tmp_path):
     assert columns.count() == 2
     names = {r["name"] for r in spark.read.parquet(str(tmp_path / "metrics")).collect()}
     assert {"drift_share", "drifted_columns", "prediction_drift", "accuracy", "auc"} <= names
+
+
+def test_booleans_and_times_are_columns_too(spark):
+    from riskframe.operators import drift
+
+    df = spark.range(60).selectExpr("id % 2 = 0 flag", "timestamp_seconds(id * 86400) at", "cast(id % 7 as double) x")
+    columns = {r["column"]: r["test"] for r in drift.column_drift(df, df).collect()}
+    assert columns == {"flag": "chi2", "at": "chi2", "x": "ks"}
+    assert drift.column_drift(df.drop("x"), df).count() == 2
+    share = drift.data_quality(df, df).filter("test = 'duplicate_share'").first()
+    assert share["value"] == 0 and share["passed"]
+
+
+def test_gates_need_evidence(spark):
+    from riskframe.operators import gates
+
+    none = spark.createDataFrame([], "run_id string, name string, value double, ts timestamp")
+    for checks in (gates.gate_performance(none), gates.gate_performance(none, required=True)):
+        assert not gates.all_passed(checks).first()["passed"]

@@ -85,3 +85,11 @@ def test_features_are_one_projection(spark):
     df = spark.range(1).select(F.lit(1.0).alias("annual_inc"), F.lit(2.0).alias("dti"), F.lit(3.0).alias("loan_amnt"))
     plan = features.create_features(df, {})._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_text_dates(spark):
+    from riskframe.operators.features import time_features
+
+    df = spark.createDataFrame([("Dec-2015", "Aug-2003"), ("2015-12-01", "2003-08-01"), ("x", None)], "issue_d string, earliest_cr_line string")
+    rows = [tuple(r) for r in time_features(df).select("issue_month", "issue_year", "credit_history_length_years").collect()]
+    assert rows[0] == rows[1] and rows[0][:2] == (12, 2015) and 12.3 < rows[0][2] < 12.4 and rows[2] == (None, None, None)

@@ -76,3 +76,11 @@ def test_batches(spark):
     out = {r["batch"]: r for r in scoring.batch_responses(scoring.score(rows, model), "batch").collect()}
     assert out["b1"]["total_inputs"] == 2 and [p["position"] for p in out["b1"]["predictions"]] == [0, 1]
     assert out["b2"]["predictions"][0]["prediction"] == 0 and out["b2"]["predictions"][0]["risk_level"] == "low"
+
+
+def test_requests_without_a_key_are_drawn_one_by_one(spark):
+    df = spark.range(2000).selectExpr("cast(null as string) loan_id", "id message_id", "id * 1.5 amount")
+    for options in ({}, {"request_id": "message_id"}):
+        challengers = scoring.route(df, 10, **options).filter("model_type = 'challenger'").count()
+        assert 120 < challengers < 280
+        assert scoring.route(df, 0, **options).filter("model_type = 'challenger'").count() == 0
