@@ -19,7 +19,7 @@ from riskframe.session import materialize
 CAPACITY = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 700_000
+CACHED_WORDS = 1_200_000
 ENCODE_WORDS = 5_000
 CHUNK_CHARS = 2_000_000
 PIECES_PER_PART = 250_000
