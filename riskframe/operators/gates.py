@@ -113,7 +113,7 @@ def all_passed(checks: DataFrame, keys: list[str] = ()) -> DataFrame:
 
 
 def require(checks: DataFrame) -> None:
-    """Raise unless every check passed; the message names the failing ones."""
+    """Raise unless every check passed; the message names the first 20 failing ones."""
     summary = all_passed(checks).first()
     if not summary["passed"]:
         shown = checks.filter(~F.col("passed")).limit(20).toJSON().collect()
