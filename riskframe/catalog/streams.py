@@ -174,7 +174,8 @@ def _message_files(spark, sf_dir) -> str:
 
 
 REPEATED = """messages AS (
-  SELECT * FROM request_errors UNION ALL SELECT * FROM request_errors WHERE o_orderkey % 50 = 0
+  SELECT *, 'request_payload' AS features_source FROM request_errors
+  UNION ALL SELECT *, 'redis_cache' FROM request_errors WHERE o_orderkey % 50 = 0
 )"""
 
 
@@ -204,10 +205,21 @@ STREAM_SCORED = SCORE_SQL.replace(
 )
 
 
-def _run_scoring(spark, sf_dir) -> ScoringTables:
-    source = _message_files(spark, sf_dir)
+STREAM_RECORD = """SELECT loan_id, model_type, model_version, CASE WHEN pd > 0.5 THEN 1 ELSE 0 END AS prediction,
+  round(pd, 6) AS probability_default, CASE WHEN pd > 0.7 THEN 'high' WHEN pd > 0.3 THEN 'medium' ELSE 'low' END AS risk_level"""
+
+
+def _run_scoring(spark, sf_dir, batches: int = 4, **options) -> ScoringTables:
+    """Score all messages; the second copies arrive in files of their own, after the first."""
+    source = new_path(spark, "messages")
+    rows = fx.raw_messages(spark, sf_dir)
+    first = rows.dropDuplicates(["o_orderkey"])
+    first.repartition(batches - 1, "o_orderkey").write.parquet(source)
+    again = rows.filter(F.col("o_orderkey") % 50 == 0).dropDuplicates(["o_orderkey"])
+    again.coalesce(1).write.mode("append").parquet(source)
     tables = ScoringTables.under(new_path(spark, "scoring"))
-    messages = file_messages(spark, source, "o_orderkey bigint, ts timestamp, value string").withColumnRenamed(
+    each = {} if "repeats_within" in options else {"maxFilesPerTrigger": "1"}
+    messages = file_messages(spark, source, "o_orderkey bigint, ts timestamp, value string", **each).withColumnRenamed(
         "o_orderkey", "message_id"
     )
     score_stream(
@@ -217,32 +229,43 @@ def _run_scoring(spark, sf_dir) -> ScoringTables:
         champion=served("champion"),
         challenger=served("challenger"),
         challenger_pct=30,
+        **options,
     ).awaitTermination()
     return tables
 
 
-@query(
-    "stream_score",
-    with_(LOANS, REQUEST_ROWS, REPEATED, STREAM_SCORED)
-    + """SELECT loan_id, model_type, model_version, CASE WHEN pd > 0.5 THEN 1 ELSE 0 END AS prediction,
-  round(pd, 6) AS probability_default, CASE WHEN pd > 0.7 THEN 'high' WHEN pd > 0.3 THEN 'medium' ELSE 'low' END AS risk_level
-FROM predicted""",
-)
-def stream_score(spark, sf_dir):
-    log = read_batches(spark, _run_scoring(spark, sf_dir).predictions)
+def _stream_records(spark, tables: ScoringTables):
     details = F.col("prediction_details")
     return rounded(
-        log.select(
+        read_batches(spark, tables.predictions).select(
             "loan_id",
             "model_type",
             details.model_version.alias("model_version"),
             details.prediction.alias("prediction"),
             details.probability_default.alias("probability_default"),
             details.risk_level.alias("risk_level"),
+            "features_source",
         )
     )
 
 
+@query("stream_score", with_(LOANS, REQUEST_ROWS, REPEATED, STREAM_SCORED) + STREAM_RECORD + ", features_source FROM predicted")
+def stream_score(spark, sf_dir):
+    """Four micro-batches; repeated messages come in the last one and are served from the first copy's features."""
+    return _stream_records(spark, _run_scoring(spark, sf_dir))
+
+
+@query(
+    "stream_score_once",
+    with_(LOANS, REQUEST_ROWS, REPEATED, STREAM_SCORED)
+    + STREAM_RECORD
+    + ", features_source FROM predicted WHERE features_source = 'request_payload'",
+)
+def stream_score_once(spark, sf_dir):
+    """The same messages with repeats removed before scoring."""
+    return _stream_records(spark, _run_scoring(spark, sf_dir, repeats_within="10 minutes"))
+
+
 @query(
     "feature_state",
     with_(LOANS, REQUEST_ROWS)

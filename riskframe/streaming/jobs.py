@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskframe.operators.drift import column_drift, drift_summary
-from riskframe.operators.joins import PAYLOAD, feature_lookup
+from riskframe.operators.joins import feature_lookup
 from riskframe.operators.scoring import ServedModel, score
 from riskframe.operators.service import alerts, metric_series, request_windows_stream
 from riskframe.schemas import ALERT_LIMITS, FEATURE_TTL_SECONDS, REQUEST_RULES
 from riskframe.sources.sinks import prediction_records
-from riskframe.streaming.messages import dead_letters, parse_messages, valid_requests
+from riskframe.streaming.messages import dead_letters, drop_repeats, parse_messages, valid_requests
 from riskframe.streaming.tables import newest_rows, read_batches, upsert_stream, write_batch
 
 FEATURES = [r.field for r in REQUEST_RULES if r.field != "loan_id"]
@@ -30,6 +30,12 @@ class ScoringTables:
     features: str
     checkpoint: str
 
+    def staged(self, df: DataFrame, step: str) -> DataFrame:
+        """``df`` written once for the running batch, in place of the batch before; later steps read the files."""
+        path = f"{self.checkpoint}_{step}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
     @staticmethod
     def under(root: str) -> ScoringTables:
         return ScoringTables(f"{root}/predictions", f"{root}/dead_letters", f"{root}/features", f"{root}/checkpoint")
@@ -76,41 +82,48 @@ def score_batch(
 ) -> None:
     """Parse, reject, look up, route, score and log one micro-batch, then write its features back.
 
+    A request also sees the earlier requests of its own batch, so messages that arrive in the order of their time
+    give the same rows in one batch or in many. Of a batch only the newest features per loan are kept.
     Every output is a folder named by the batch, so a batch that is run again replaces its own output.
     """
     spark = messages.sparkSession
-    parsed = parse_messages(messages).persist()
-    looked_up = None
-    try:
-        write_batch(dead_letters(parsed), tables.dead_letters, batch_id)
-        requests = valid_requests(parsed)
-        written = read_batches(spark, tables.features)
+    parsed = tables.staged(parse_messages(messages), "parsed")
+    write_batch(dead_letters(parsed), tables.dead_letters, batch_id)
+    requests = valid_requests(parsed)
+    written = read_batches(spark, tables.features)
+    if written is None:
+        columns = ["loan_id", F.col("ts").alias("feature_ts"), *FEATURES, F.lit(-1).cast("int").alias("batch_id")]
+        known = spark.createDataFrame([], requests.select(*columns).schema)
+    else:
         # a repeated batch must not see the features it wrote itself; older months are not read
-        known = None if written is None else written.filter((F.col("batch_id") < batch_id) & _recent(requests, ttl))
-        if known is None:
-            looked_up = requests.withColumns(
-                {"features_source": F.lit(PAYLOAD), "feature_ts": F.lit(None).cast("timestamp")}
-            )
-        else:
-            looked_up = feature_lookup(
-                requests, known.drop("month"), request_ts="ts", request_id=message_id, version="batch_id", ttl=ttl
-            )
-        looked_up = looked_up.persist()
-        scored = score(looked_up, champion, challenger, challenger_pct, request_id=message_id)
-        inputs = [c for c in FEATURES if c in scored.columns]
-        records = prediction_records(scored, inputs)
-        write_batch(records, tables.predictions, batch_id, ["hour"])
-        state = looked_up.filter(F.col("loan_id").isNotNull()).select("loan_id", F.col("ts").alias("feature_ts"), *FEATURES)
-        newest = newest_rows(state, ["loan_id"], ["feature_ts"]).withColumn("month", _month(F.col("feature_ts")))
-        write_batch(newest, tables.features, batch_id, ["month"])
-    finally:
-        if looked_up is not None:
-            looked_up.unpersist()
-        parsed.unpersist()
-
-
-def score_stream(messages: DataFrame, tables: ScoringTables, available_now: bool = False, **options) -> StreamingQuery:
-    """Score a stream of ``(message_id, value, ts)``; options are those of :func:`score_batch`."""
+        known = written.filter((F.col("batch_id") < batch_id) & _recent(requests, ttl)).drop("month")
+    looked_up = feature_lookup(
+        requests, known, request_ts="ts", request_id=message_id, version="batch_id", ttl=ttl, renew=True
+    )
+    looked_up = tables.staged(looked_up, "looked_up")
+    scored = score(looked_up, champion, challenger, challenger_pct, request_id=message_id)
+    inputs = [c for c in FEATURES if c in scored.columns]
+    write_batch(prediction_records(scored, inputs), tables.predictions, batch_id, ["hour"])
+    state = looked_up.filter(F.col("loan_id").isNotNull()).select(
+        "loan_id", F.col("ts").alias("feature_ts"), *FEATURES, F.col(message_id).cast("string").alias("_message")
+    )
+    newest = newest_rows(state, ["loan_id"], ["feature_ts", "_message"]).drop("_message")
+    write_batch(newest.withColumn("month", _month(F.col("feature_ts"))), tables.features, batch_id, ["month"])
+
+
+def score_stream(
+    messages: DataFrame,
+    tables: ScoringTables,
+    available_now: bool = False,
+    repeats_within: str | None = None,
+    **options,
+) -> StreamingQuery:
+    """Score a stream of ``(message_id, value, ts)``; options are those of :func:`score_batch`.
+
+    With ``repeats_within`` a message id is scored once among messages that arrive that close together.
+    """
+    if repeats_within is not None:
+        messages = drop_repeats(messages, options.get("message_id", "message_id"), "ts", repeats_within)
     writer = messages.writeStream.foreachBatch(
         lambda batch, batch_id: score_batch(batch, batch_id, tables, **options)
     ).option("checkpointLocation", tables.checkpoint)

@@ -46,6 +46,34 @@ def test_lookup_against_brute_force(spark, rows_per_bucket, ttl):
     assert {g["event_id"]: (g["value"], g["features_source"], g["feature_ts"]) for g in got} == brute(requests, snapshots, ttl)
 
 
+def brute_renewed(requests, snapshots, ttl):
+    """A store that every snapshot and every served request writes to, played through in the order of time."""
+    events = [(s[1], 0, str(s[2]).zfill(20), s[0], None, s[3]) for s in snapshots]
+    events += [(r[2], 1, str(r[0]), r[1], r[0], r[3]) for r in requests]
+    store, out = {}, {}
+    for ts, _, _, key, request, value in sorted(events, key=lambda e: e[:3]):
+        if request is not None:
+            known = store.get(key) if key is not None else None
+            hit = known is not None and (ts - known[0]).total_seconds() < ttl
+            value = known[1] if hit else value
+            out[request] = (value, "redis_cache", known[0]) if hit else (value, "request_payload", None)
+        if key is not None:
+            store[key] = (ts, value)
+    return out
+
+
+@pytest.mark.parametrize("rows_per_bucket", [5, 10**9])
+@pytest.mark.parametrize("ttl", [8, 60, 900])
+def test_renewed_lookup_against_brute_force(spark, rows_per_bucket, ttl):
+    requests, snapshots, r, s = frames(spark, seed=ttl)
+    few = snapshots[::20]
+    s = spark.createDataFrame(few, s.schema)
+    got = feature_lookup(r, s, version="version", ttl=ttl, rows_per_bucket=rows_per_bucket, renew=True).collect()
+    assert len(got) == len(requests)
+    wanted = brute_renewed(requests, few, ttl)
+    assert {g["event_id"]: (g["value"], g["features_source"], g["feature_ts"]) for g in got} == wanted
+
+
 def test_lookup_without_snapshots(spark):
     requests, _, r, s = frames(spark)
     got = feature_lookup(r, s.limit(0), version="version").collect()

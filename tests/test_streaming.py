@@ -80,6 +80,20 @@ def test_stream_equals_batches(spark, tmp_path):
     assert log.select("batch_id").distinct().count() == 4 and log.count() == 20
 
 
+def test_one_batch_or_many_serve_alike(spark, tmp_path):
+    """Requests of few loans, some minutes apart, some more than an hour."""
+    rows = [(i, 1500 * i, json.dumps(request("abc"[i % 3] if i % 7 else "a", dti=float(i)))) for i in range(24)]
+    served_rows = []
+    for cuts in ([0, 24], [0, 5, 11, 24]):
+        tables = ScoringTables.under(str(tmp_path / str(len(cuts))))
+        for batch, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            score_batch(messages(spark, rows[a:b]), batch, tables, served("champion"))
+        log = read_batches(spark, tables.predictions)
+        served_rows.append(sorted(log.select("loan_id", "features_source", "input_features.dti").collect()))
+    assert served_rows[0] == served_rows[1]
+    assert {r["features_source"] for r in served_rows[0]} == {"redis_cache", "request_payload"}
+
+
 def test_repeats_within_the_watermark(spark, tmp_path):
     source = str(tmp_path / "in")
     messages(spark, [(1, 0, "a"), (1, 5, "a"), (2, 1, "b")]).write.parquet(source)
