@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe import fixtures as fx
+from riskframe.catalog.monitoring import ALL_TESTS
 from riskframe.catalog.registry import query, r6, rounded
 from riskframe.catalog.serving import SCORE_SQL, served
-from riskframe.catalog.views import LOANS, REQUEST_LOG, REQUEST_ROWS, SCORED, with_
+from riskframe.catalog.views import DRIFT, LOANS, REQUEST_LOG, REQUEST_ROWS, SCORED, with_
 from riskframe.operators import service
 from riskframe.session import new_path
 from riskframe.streaming.jobs import (
@@ -280,7 +281,13 @@ def stream_feature_state(spark, sf_dir):
     return rounded(state.select("loan_id", "feature_ts", "grade", "dti", "total_acc"))
 
 
-@query("stream_drift")
+@query(
+    "stream_drift",
+    with_(DRIFT, ALL_TESTS)
+    + """SELECT "column" || '_p_value' AS name, round(p_value, 6) AS value FROM tests
+UNION ALL SELECT 'drifted_columns', CAST(count(*) FILTER (drifted) AS DOUBLE) FROM tests
+UNION ALL SELECT 'drift_share', round(count(*) FILTER (drifted) / CAST(count(*) AS DOUBLE), 6) FROM tests""",
+)
 def stream_drift(spark, sf_dir):
     """Drift metrics of the later line items as they arrive, against the earlier ones."""
     reference, current = fx.drift_frames(spark, sf_dir)
@@ -290,4 +297,4 @@ def stream_drift(spark, sf_dir):
     drift_stream(
         file_messages(spark, source, schema), reference, f"{root}/metrics", f"{root}/checkpoint", available_now=True
     ).awaitTermination()
-    return rounded(read_batches(spark, f"{root}/metrics").select("batch_id", "name", "value"))
+    return rounded(read_batches(spark, f"{root}/metrics").select("name", "value"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,25 +14,50 @@ from pyspark.sql.types import DoubleType
 from riskframe.functions.ordered import running_totals
 from riskframe.operators.clean import as_categories, common_columns, numeric_columns, string_columns
 from riskframe.operators.metrics import evaluate
+from riskframe.session import materialize
 
 ALPHA = 0.05
 DRIFT_SHARE = 0.3
 
 
+def _value_counts(df: DataFrame, columns: list[str], cast: str) -> DataFrame:
+    """``(column, value, n)``: occurrences of every value, a missing one included."""
+    long = df.select(*[F.col(x).cast(cast).alias(x) for x in columns]).unpivot([], columns, "column", "value")
+    return long.groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
+def _meet(reference: DataFrame, current: DataFrame) -> DataFrame:
+    """``(column, value, r, c)`` from the counts of the two sides."""
+    zero = F.lit(0).cast("long")
+    sides = reference.select("column", "value", F.col("n").alias("r"), zero.alias("c")).unionByName(
+        current.select("column", "value", zero.alias("r"), F.col("n").alias("c"))
+    )
+    return sides.groupBy("column", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+
+
 def _both_sides(reference: DataFrame, current: DataFrame, columns: list[str], cast: str) -> DataFrame:
     """``(column, value, r, c)``: occurrences on each side, counted before the two sides meet."""
+    return _meet(_value_counts(reference, columns, cast), _value_counts(current, columns, cast))
 
-    def side(df: DataFrame, r: str, c: str) -> DataFrame:
-        return (
-            df.select(*[F.col(x).cast(cast).alias(x) for x in columns])
-            .unpivot([], columns, "column", "value")
-            .groupBy("column", "value")
-            .agg(F.count("*").alias("n"))
-            .select("column", "value", F.expr(r).alias("r"), F.expr(c).alias("c"))
-        )
 
-    sides = side(reference, "n", "0L").unionByName(side(current, "0L", "n"))
-    return sides.groupBy("column", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+@dataclass(frozen=True)
+class CountedReference:
+    """Roles of a reference's columns and the occurrences of their values, for comparisons with many tables."""
+
+    numeric: list[str]
+    text: list[str]
+    numbers: DataFrame | None
+    words: DataFrame | None
+
+
+def count_reference(reference: DataFrame, target: str | None = None) -> CountedReference:
+    """Count a reference once; the counts are written to the shared folder."""
+    reference = as_categories(reference)
+    numeric = [c for c in numeric_columns(reference) if c != target]
+    text = [c for c in string_columns(reference) if c != target]
+    numbers = materialize(_value_counts(reference, numeric, "double"), "reference-numbers") if numeric else None
+    words = materialize(_value_counts(reference, text, "string"), "reference-words") if text else None
+    return CountedReference(numeric, text, numbers, words)
 
 
 def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
@@ -48,8 +74,11 @@ def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
 
 def ks_drift(reference: DataFrame, current: DataFrame, columns: list[str], alpha: float = ALPHA) -> DataFrame:
     """Two-sample Kolmogorov–Smirnov test per numeric column over all values of both sides."""
-    counts = _both_sides(reference, current, columns, "double").filter(F.col("value").isNotNull())
-    run = running_totals(counts, ["column"], ["value"], ["r", "c"])
+    return _ks(_both_sides(reference, current, columns, "double"), alpha)
+
+
+def _ks(counts: DataFrame, alpha: float) -> DataFrame:
+    run = running_totals(counts.filter(F.col("value").isNotNull()), ["column"], ["value"], ["r", "c"])
     gap = F.abs(
         F.try_divide(F.col("cum_r"), F.col("total_r")) - F.try_divide(F.col("cum_c"), F.col("total_c"))
     )
@@ -109,46 +138,56 @@ def chi2_p(statistic: Column, dof: Column) -> Column:
 
 def chi2_drift(reference: DataFrame, current: DataFrame, columns: list[str], alpha: float = ALPHA) -> DataFrame:
     """χ² test of equal category shares per text column; a missing value is a category of its own."""
-    counts = _both_sides(reference, current, columns, "string")
-    totals = counts.groupBy("column").agg(F.sum("r").alias("n_reference"), F.sum("c").alias("n_current"))
-    r_total, c_total = F.col("n_reference"), F.col("n_current")
-    seen = (F.col("r") + F.col("c")).cast("double")
-    expected_r = seen * r_total / (r_total + c_total)
-    expected_c = seen * c_total / (r_total + c_total)
-    terms = F.coalesce(F.try_divide(F.pow(F.col("r") - expected_r, 2), expected_r), F.lit(0.0)) + F.coalesce(
-        F.try_divide(F.pow(F.col("c") - expected_c, 2), expected_c), F.lit(0.0)
+    return _chi2(_both_sides(reference, current, columns, "string"), alpha)
+
+
+def _chi2(counts: DataFrame, alpha: float) -> DataFrame:
+    """With R and C rows on the sides and N in all, the sum of (seen - expected)²/expected over both sides is
+    N/R Σ r²/(r + c) + N/C Σ c²/(r + c) - N, so one aggregate does and the totals need no join."""
+    r, c = F.col("r").cast("double"), F.col("c").cast("double")
+    sums = counts.groupBy("column").agg(
+        F.sum(r * r / (r + c)).alias("_r"),
+        F.sum(c * c / (r + c)).alias("_c"),
+        (F.count("*") - 1).alias("dof"),
+        F.sum("r").alias("n_reference"),
+        F.sum("c").alias("n_current"),
     )
+    n = F.col("n_reference") + F.col("n_current")
+    statistic = n * F.try_divide("_r", "n_reference") + n * F.try_divide("_c", "n_current") - n
     return (
-        counts.join(totals, "column")
-        .groupBy("column")
-        .agg(
-            F.sum(terms).alias("statistic"),
-            (F.count("*") - 1).alias("dof"),
-            F.max("n_reference").alias("n_reference"),
-            F.max("n_current").alias("n_current"),
-        )
+        sums.withColumn("statistic", F.greatest(F.coalesce(statistic, F.lit(0.0)), F.lit(0.0)))
+        .select("column", "statistic", "dof", "n_reference", "n_current")
         .withColumn("p_value", chi2_p(F.col("statistic"), F.col("dof").cast("double")))
         .withColumn("drifted", F.col("p_value") < alpha)
     )
 
 
 def column_drift(
-    reference: DataFrame, current: DataFrame, target: str | None = None, alpha: float = ALPHA
+    reference: DataFrame | CountedReference, current: DataFrame, target: str | None = None, alpha: float = ALPHA
 ) -> DataFrame:
     """``(column, test, statistic, p_value, drifted)`` over the common columns.
 
     Roles come from the reference's types; its target is no feature. Booleans and days are categories.
     """
-    reference, current = as_categories(reference), as_categories(current)
-    columns = [c for c in common_columns(reference, current) if c != target]
-    numeric = [c for c in numeric_columns(reference) if c in columns]
-    text = [c for c in string_columns(reference) if c in columns]
+    current = as_categories(current)
+    counted = reference if isinstance(reference, CountedReference) else None
+    if counted is None:
+        reference = as_categories(reference)
+    roles = (counted.numeric, counted.text) if counted else (numeric_columns(reference), string_columns(reference))
+    numeric, text = ([c for c in names if c in current.columns and c != target] for names in roles)
+
+    def met(columns: list[str], cast: str, known: DataFrame | None) -> DataFrame:
+        seen = known.filter(F.col("column").isin(columns)) if counted else _value_counts(reference, columns, cast)
+        return _meet(seen, _value_counts(current, columns, cast))
+
     out = ["column", "test", "statistic", "p_value", "drifted"]
     parts = []
     if numeric:
-        parts.append(ks_drift(reference, current, numeric, alpha).withColumn("test", F.lit("ks")).select(*out))
+        tests = _ks(met(numeric, "double", counted and counted.numbers), alpha)
+        parts.append(tests.withColumn("test", F.lit("ks")).select(*out))
     if text:
-        parts.append(chi2_drift(reference, current, text, alpha).withColumn("test", F.lit("chi2")).select(*out))
+        tests = _chi2(met(text, "string", counted and counted.words), alpha)
+        parts.append(tests.withColumn("test", F.lit("chi2")).select(*out))
     if not parts:
         raise ValueError("the frames have no common column to compare")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -155,21 +155,27 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
 
 
 def histogram_by_class(
-    df: DataFrame, column: str, label: str, bins: int = 50, common_range: bool = False
+    df: DataFrame, column: str, label: str, bins: int = 50, common_range: bool = False, max_classes: int = 1000
 ) -> DataFrame:
-    """``(label, bin, left, n, density)``: equal-width bins over each class's own (or one common) range."""
+    """``(label, bin, left, n, density)``: equal-width bins over each class's own (or one common) range.
+
+    The ranges, one row per class, are broadcast; more than ``max_classes`` classes are an error.
+    """
     rows = df.select(F.col(label).alias("label"), F.col(column).cast("double").alias("x")).filter(
         F.col("x").isNotNull() & F.col("label").isNotNull()
     )
-    # one row per class: the ranges are joined to the rows, which then collapse to bins before the shuffle
     ranges = rows.groupBy("label").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("total"))
     if common_range:
         whole = rows.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("r")).scalar()
         ranges = ranges.withColumns({"lo": whole.getField("lo"), "hi": whole.getField("hi")})
     ranges = ranges.withColumn("width", (F.col("hi") - F.col("lo")) / bins).drop("hi")
+    found = ranges.limit(max_classes + 1).collect()
+    if len(found) > max_classes:
+        raise ValueError(f"{label} has more than {max_classes} classes; it is no class label")
+    ranges = df.sparkSession.createDataFrame(found, ranges.schema)
     at = F.least(F.floor(F.try_divide(F.col("x") - F.col("lo"), F.col("width"))), F.lit(bins - 1))
     return (
-        rows.join(ranges, "label")
+        rows.join(F.broadcast(ranges), "label")
         .groupBy("label", F.coalesce(at, F.lit(0)).cast("int").alias("bin"))
         .agg(F.count("*").alias("n"), F.max("lo").alias("lo"), F.max("width").alias("width"), F.max("total").alias("total"))
         .select(

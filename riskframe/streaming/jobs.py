@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from riskframe.operators.drift import column_drift, drift_summary
+from riskframe.operators.drift import column_drift, count_reference, drift_summary
 from riskframe.operators.joins import feature_lookup
 from riskframe.operators.scoring import ServedModel, score
 from riskframe.operators.service import alerts, metric_series, request_windows_stream
@@ -138,12 +138,16 @@ def drift_stream(
     available_now: bool = False,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StreamingQuery:
-    """Compare every micro-batch of logs with the reference and write ``(name, value)`` metrics."""
+    """Compare every micro-batch of logs with the reference and write ``(name, value)`` metrics.
+
+    The reference is counted once, when the stream starts.
+    """
+    counted = count_reference(reference)
 
     def monitor(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        columns = column_drift(reference, prepare(batch)).persist()
+        columns = column_drift(counted, prepare(batch)).persist()
         summary = drift_summary(columns).select(
             F.explode(
                 F.create_map(

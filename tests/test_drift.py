@@ -46,6 +46,19 @@ def test_missing_is_a_category(spark):
     assert row["statistic"] == pytest.approx(2 * 25**2 / 75 + 2 * 25**2 / 25)
 
 
+def test_counted_reference_and_plan_without_joins(spark):
+    ref = spark.createDataFrame([(float(i % 7), "ab"[i % 2], i % 3 == 0) for i in range(90)], "x double, g string, b boolean")
+    cur = spark.createDataFrame([(float(i % 5), "abc"[i % 3], None) for i in range(60)], "x double, g string, b boolean")
+    counted = drift.count_reference(ref)
+    for current in (cur, cur.drop("x"), cur.drop("b")):
+        direct = sorted(drift.column_drift(ref, current).collect())
+        assert sorted(drift.column_drift(counted, current).collect()) == direct and len(direct) == len(current.columns)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = drift.chi2_drift(ref, cur, ["g"])._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" not in plan
+
+
 def test_prediction_drift_needs_both_sides(spark):
     df = spark.createDataFrame([(0.1,)], "p double")
     with pytest.raises(ValueError):

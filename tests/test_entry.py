@@ -53,7 +53,7 @@ def test_flagship(spark):
 def test_names():
     assert set(ORACLES) <= set(QUERIES)
     assert set(LIBRARY[0]) - set(LIBRARY[1]) == {
-        "stream_drift", "train_logistic_regression", "train_boosted_trees", "train_random_forest", "cv_auc",
+        "train_logistic_regression", "train_boosted_trees", "train_random_forest", "cv_auc",
         "random_search", "tree_attribution",
     }
 
