@@ -31,7 +31,7 @@ def model_frame(spark, sf_dir):
 def _train_and_evaluate(spark, sf_dir, kind, **params):
     training, validation = split(model_frame(spark, sf_dir), "loan_id", "default")
     model = learning.train(training, kind, ignore=("loan_id",), **params)
-    return rounded(evaluate(learning.scored(model, validation)))
+    return rounded(evaluate(materialize(learning.scored(model, validation), "scored")))
 
 
 @query("train_logistic_regression")

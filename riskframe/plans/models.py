@@ -26,20 +26,33 @@ def train_job(
     test_size: float = 0.2,
     seed: int = 42,
     folds: int = 5,
+    clean: bool = True,
+    clean_exclude: tuple[str, ...] = (),
     **params,
 ) -> PipelineModel:
     """Split a feature table, train on one side, evaluate on the other, cross-validate, save model and metrics.
 
-    The label travels in the row, so deduplication cannot misalign it; folds come from the training rows.
+    The cleaner learns fill values and fences from the training rows and is the model's first stage. The label travels in the row, so deduplication cannot misalign it; folds come from the training rows.
     """
     if target not in df.columns:
         raise ValueError(f"target column {target!r} not found")
     training, validation = split(materialize(df, "train-input"), key, target, test_size, seed)
-    model = train(training, kind, target, ignore=(key,), dictionary=f"{model_path}-dictionary", **params)
+    model = train(
+        training,
+        kind,
+        target,
+        ignore=(key,),
+        dictionary=f"{model_path}-dictionary",
+        clean=clean,
+        clean_exclude=clean_exclude,
+        **params,
+    )
     model.write().overwrite().save(model_path)
-    append_metrics(evaluate(scored(model, validation, target)), metrics_path, run_id, "validation")
+    rows = materialize(scored(model, validation, target), "scored")
+    append_metrics(evaluate(rows), metrics_path, run_id, "validation")
     if folds:
-        areas = cv_scores(vectors(training, target, key, folds), kind, target, folds, params)
+        ready = model.stages[0].transform(training) if clean else training
+        areas = cv_scores(vectors(ready, target, key, folds), kind, target, folds, params)
         summary = areas.agg(F.avg("auc").alias("cv_auc_mean"), F.stddev_pop("auc").alias("cv_auc_std"))
         append_metrics(summary.unpivot([], ["cv_auc_mean", "cv_auc_std"], "name", "value"), metrics_path, run_id, "cv")
     return model

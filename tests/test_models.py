@@ -41,6 +41,16 @@ def test_models_learn(spark, frame, kind, params, tmp_path):
     assert scored.exceptAll(again).count() == 0
 
 
+def test_cleaning_keeps_the_training_fences(spark, frame):
+    model = learning.train(frame, "logistic_regression", ignore=("loan_id",), clean=True)
+    far = frame.limit(1).withColumn("a", F.lit(1000.0)).withColumn("b", F.lit(None).cast("double"))
+    cleaned = model.stages[0].transform(far).first()
+    assert 1.0 < cleaned["a"] < 10.0 and cleaned["loan_id"] == frame.first()["loan_id"]
+    at_fence = far.withColumn("a", F.lit(cleaned["a"]))
+    scored = learning.scored(model, far).first()  # the missing b is filled behind the cleaner
+    assert scored == learning.scored(model, at_fence).first() and 0 <= scored["p"] <= 1
+
+
 def test_unknown_kind(frame):
     with pytest.raises(ValueError):
         learning.train(frame, "nearest_neighbour")
