@@ -23,8 +23,8 @@ CANDIDATES = 8
 COUNT_CHUNK = 65_536
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """64 bits; a bit is set if more than half of the shingles' hashes have it. No words: zero.
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """64-bit hashes of the word shingles in their order; one of all words if there are fewer, none without words.
 
     ``bytes.lower`` and ``bytes.split`` touch ASCII letters and ASCII white space only.
     """
@@ -32,14 +32,21 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.dtype("<u8"))
     joined = b" ".join(words)
     ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
     starts = [0, *[e + 1 for e in ends[:-1]]]
     width = min(shingle, len(words))
-    hashes = np.fromiter(
+    return np.fromiter(
         (xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :])), np.dtype("<u8"), len(words) - width + 1
     )
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """64 bits; a bit is set if more than half of the shingles' hashes have it. No words: zero."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), COUNT_CHUNK):
         part = hashes[at : at + COUNT_CHUNK].view(np.uint8).reshape(-1, 8)

@@ -53,6 +53,28 @@ def clusters(fps, radius=2):
     return {i: find(i) for i in ids}
 
 
+def near_groups(texts, least=0.8, width=5):
+    """{row number: smallest row number reachable} over pairs of texts at a 5-word Jaccard similarity of ``least``."""
+    sets = []
+    for text in texts:
+        words = (text or "").encode().lower().split()
+        k = min(width, len(words))
+        sets.append({tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set())
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for b, own in enumerate(sets):
+        for a in range(b):
+            if own == sets[a] or len(own & sets[a]) >= least * len(own | sets[a]) - 1e-9 > 0:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(sets))]
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

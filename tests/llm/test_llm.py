@@ -434,6 +434,31 @@ def test_every_operator_takes_odd_tables(spark, rows):
 # pipeline
 
 
+def test_near_dedup_stage_equals_brute_force(spark, sf_dir, docs):
+    """A planted text with one to eight replaced words, its repeated row, a repeated id and null ids, and real tables."""
+    rng = random.Random(8)
+    base = sentence(rng, 150).split()
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for at in rng.sample(range(150), 1 + i % 8):
+            words[at] = f"new{i}x{at}"
+        rows.append((100 + i, " ".join(words), "a"))
+    rows += [rows[0], rows[0], (100, sentence(rng, 80), "a"), (None, " ".join(base), "a"), (None, sentence(rng, 20), "a"), (None, None, "b")]
+    odd = frame(spark, rows).repartition(4).union(docs)
+    for df in (odd, spark.read.parquet(f"{sf_dir}/documents.parquet")):
+        ordered = sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0] is None, r[0] or 0, zlib.crc32((r[1] or "").encode())))
+        groups = brute.near_groups([r[1] for r in ordered])
+        members = collections.defaultdict(list)
+        for r, g in zip(ordered, groups):
+            members[g].append(r[0] if r[0] is not None else float("inf"))
+        kept = corpus_pipeline.near_dedup_stage(spark, df, sf_dir)
+        assert kept.columns == df.columns
+        got = [r["doc_id"] if r["doc_id"] is not None else float("inf") for r in kept.collect()]
+        assert sorted(got) == sorted(min(ids) for ids in members.values())
+        assert len(got) < df.select("text").distinct().count()
+
+
 def test_pipeline_stages(spark, sf_dir, tokenizer):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [tuple(r) for r in docs.collect()]
