@@ -15,12 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.labelled import held_out, labelled_sample
+from riskframe.functions.ordered import ColumnCounts, values_at
+from riskframe.llm.labelled import held_out, labelled_sample, usable_labels
+from riskframe.session import materialize
 
 PER_CLASS = 5_000
 PAIRS_PER_ROW = 16
 CUT = 0.7
 STEPS = 30
+RANKED = 50_000  # beyond so many scores only those around the cut are ranked
 RIDGE = 1e-3
 
 LETTER, UPPER, DIGIT, SPACE, STOP, BAR, OTHER = range(7)
@@ -133,14 +136,41 @@ def feature_rows(docs: DataFrame, extra: str, extra_schema: str) -> DataFrame:
     return docs.select("doc_id", "text", extra).mapInArrow(run, f"doc_id long, {extra_schema}, x array<double>")
 
 
+def set_cut(model: BradleyTerry, docs: DataFrame, labels: DataFrame, label: str, ranked: int = RANKED) -> None:
+    """Moves the cut to the quantile of the share of label 0 over the scores of all usable labelled rows, sampled or not.
+
+    Texts are scored where they lie; only ids and scores meet the labels. The scores around the cut and the
+    median above it, which sets the spread, are exact order statistics.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([features(t.as_py()) for t in batch.column(1)]).reshape(-1, WIDTH)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.raw(x))], ["doc_id", "raw"])
+
+    texts = docs.filter(F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+    scores = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, raw double")
+    scores = materialize(scores.join(usable_labels(labels, label), "doc_id").select("label", "raw"), "quality_scores")
+    row = scores.agg(F.count("*").alias("n"), F.count(F.when(F.col("label") == 0, 1)).alias("n0")).first()
+    n, at = row["n"], min(max(row["n0"], 1), row["n"] - 1)
+    low, high = at + (n - at - 1) // 2, at + (n - at) // 2
+    values = values_at(scores, {"raw": ColumnCounts(n, n)}, {"raw": {at - 1, at, low, high}}, ranked)
+    model.cut = (values["raw", at - 1] + values["raw", at]) / 2
+    model.spread = max(((values["raw", low] + values["raw", high]) / 2 - model.cut) / 4, 1e-3)
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> BradleyTerry | None:
-    """Fitted on at most ``per_class`` labelled documents of either label, outside the held-out fold."""
+    """Weights fitted on at most ``per_class`` labelled documents of either label, the cut set over all of them; both
+    outside the held-out fold."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     rows = feature_rows(labelled_sample(docs, labels, label, per_class), "label", "label int").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["label"], r["x"]))
     if not rows:
         return None
-    return fit_bradley_terry(np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows]))
+    model = fit_bradley_terry(np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows]))
+    if model is not None:
+        set_cut(model, docs, labels, label)
+    return model
 
 
 def quality_udf(model: BradleyTerry | None):

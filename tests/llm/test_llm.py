@@ -148,6 +148,24 @@ def test_quality_on_the_held_out_fold(spark, sf_dir):
     assert (counts[0, 0] + counts[1, 1]) / counts.total() > 0.95
 
 
+@pytest.mark.parametrize("per_class", [5_000, 40], ids=["below the cap", "above the cap"])
+def test_quality_cut_covers_all_labelled_rows(spark, sf_dir, per_class):
+    big = sf_dir.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
+    wanted = {i: q for i, q in labels.select("doc_id", "quality").collect() if q in (0, 1) and i is not None and fold(i, 4) != 2}
+    rows = [(t or "", wanted[i]) for i, t in docs.select("doc_id", "text").collect() if i in wanted]
+    count = collections.Counter(q for _, q in rows)
+    assert (max(count.values()) <= per_class) == (per_class == 5_000)
+    model = quality.fit_quality(docs, labels, per_class=per_class)
+    s = np.sort(model.raw(np.array([quality.features(t) for t, _ in rows])))
+    at = count[0]
+    assert model.cut == pytest.approx((s[at - 1] + s[at]) / 2, abs=1e-9)
+    assert model.spread == pytest.approx(max((np.median(s[at:]) - model.cut) / 4, 1e-3), abs=1e-9)
+    before = model.cut
+    quality.set_cut(model, docs, labels, "quality", ranked=10)
+    assert model.cut == pytest.approx(before, abs=1e-9)
+
+
 def test_bradley_terry_orders_pairs():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 3))
