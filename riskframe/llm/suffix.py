@@ -46,7 +46,7 @@ FACTORS = [np.uint64(f) for f in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE703
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the ``PREFIX`` bytes from every position, by doubling the hashed length."""
+    """A 64-bit hash of the ``PREFIX`` bytes from every position, by doubling the hashed length; odd, so never 0."""
     h = data.astype(np.uint64) * MIX
     width = 1
     for f in FACTORS:
@@ -54,7 +54,7 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
         h ^= h >> np.uint64(29)
         width *= 2
     h *= MIX
-    return h ^ (h >> np.uint64(32))
+    return h ^ (h >> np.uint64(32)) | np.uint64(1)
 
 
 def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:

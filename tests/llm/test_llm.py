@@ -74,6 +74,17 @@ def test_repeats_equal_brute_force(spark, sf_dir, table, docs, monkeypatch):
     assert removed(suffix.remove_repeats(docs)) == want
 
 
+def test_repeats_padded_with_nul_bytes(spark):
+    """Every window of the passages holds 32 or more NUL bytes."""
+    rng = random.Random(6)
+    passages = [sentence(rng, 4)[:20] + "\0" * 70 + sentence(rng, 4)[:20], "\0" * 130]
+    rows = [(i, f"{sentence(rng, 9)} {passages[i % 2]} {sentence(rng, 7)}", "a") for i in range(8)]
+    want = brute.repeats([r[:2] for r in rows])
+    assert sum(w[1] > 0 for w in want.values()) >= 6
+    assert (suffix.prefix_hashes(np.zeros(64, np.uint8)) != 0).all()
+    assert removed(suffix.remove_repeats(frame(spark, rows))) == want
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_repeats_over_many_ranges_and_runs(spark, seed, monkeypatch):
     rng = random.Random(seed)
