@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import exact_dedup, language, mixing, packing, pii, quality, simhash, suffix, topk, toxicity
+from riskframe.llm import checks, collocations, conversations, exact_dedup, language, mixing, packing, pii, quality, sharding
+from riskframe.llm import simhash, suffix, topk, toxicity
 from riskframe.llm.batches import prepare
 
 NEIGHBOURS = 5
@@ -62,11 +63,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit_conversations(table(spark, sf_dir, "conversations"), damage=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_language, op3_simhash, op4_exact_dedup, op5_sanitise, op6_toxicity, op7_mixing,
-        op8_packing, op9_topk, op10_quality,
+        op8_packing, op9_topk, op10_quality, op11_sharding, op12_collocations, op13_conversations,
     )
 }
 
@@ -123,6 +136,9 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_sharding": checks.SHARDING,
+    "op12_collocations": checks.COLLOCATIONS,
+    "op13_conversations": checks.CONVERSATIONS,
 }
 
 
