@@ -1,28 +1,27 @@
-"""Near copies: MinHash bands bring candidates together, the similarity of a pair is counted on its texts."""
+"""Near copies: SimHash links first, then every pair that shares a rare shingle; the similarity is counted on the texts."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.graph import components
-from riskframe.llm.simhash import shingle_hashes
+from riskframe.llm.simhash import near_links, shingle_hashes
 from riskframe.session import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band with probability (1 - 0.8^5)^32 = 3e-6
+SIMHASH_RADIUS = 2
 LEADER_ROUNDS = 3
-HASH_CHUNK = 1_024
-
-_rng = np.random.default_rng(17)
-FLIPS = _rng.integers(0, 2**64, (BANDS * ROWS, 1), np.uint64)
-FACTORS = _rng.integers(0, 2**64, (BANDS * ROWS, 1), np.uint64) | np.uint64(1)
+COUNTER_BITS = 22  # counters of the frequency sketch, as a power of two: 16 MB in all, whatever the table's size
+BLOCK = 1 << 16
+HELD = 1 << 20
 
 
 def shingle_set(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
@@ -30,18 +29,6 @@ def shingle_set(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(shingle_hashes(text, shingle))
 
 
-def bands(hashes: np.ndarray) -> list[int]:
-    """One number a band; sets share a band's number if they share its ``ROWS`` least hashes."""
-    from xxhash import xxh64_intdigest
-
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), HASH_CHUNK):
-        np.minimum(least, ((hashes[at : at + HASH_CHUNK] ^ FLIPS) * FACTORS).min(axis=1), out=least)
-    data, width = least.tobytes(), 8 * ROWS
-    keys = np.array([xxh64_intdigest(data[i * width : (i + 1) * width], i) for i in range(BANDS)], np.uint64)
-    return keys.view(np.int64).tolist()
-
-
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard similarity of two sorted sets; two empty sets are equal."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -49,19 +36,86 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / either if either else 1.0
 
 
-def signed_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``at, row, size, set, bands, text, rank``: rows numbered once, with the size, digest and bands of their shingle sets."""
+def set_fingerprint(hashes: np.ndarray) -> np.int64:
+    """A bit is set if more than half of the distinct shingles have it."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * bits > len(hashes), bitorder="little").view("<i8")[0]
+
+
+def counter(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def shingle_levels(texts: DataFrame, shingle: int) -> np.ndarray:
+    """Powers of two of how often shingles occur, by counters of fixed number that shingles share by hash.
+
+    Every task counts all its texts; the counters are added up block by block. A counter is at least as high as
+    the frequency of any shingle in it.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zlib
+
+        counts, held, n = np.zeros(1 << COUNTER_BITS, np.uint32), [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                held.append(shingle_set(text.as_py(), shingle))
+                n += len(held[-1])
+                if n >= HELD:
+                    counts += np.bincount(counter(np.concatenate(held)), minlength=len(counts)).astype(np.uint32)
+                    held, n = [], 0
+        if held:
+            counts += np.bincount(counter(np.concatenate(held)), minlength=len(counts)).astype(np.uint32)
+        blocks = [(i, counts[i * BLOCK : (i + 1) * BLOCK]) for i in range(len(counts) // BLOCK)]
+        blocks = [(i, zlib.compress(b.tobytes(), 1)) for i, b in blocks if b.any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([i for i, _ in blocks], pa.int32()), pa.array([b for _, b in blocks], pa.binary())], ["block", "counts"]
+        )
+
+    def add(blocks: pa.Table) -> pa.Table:
+        import zlib
+
+        total = np.zeros(BLOCK, np.uint64)
+        for b in blocks.column("counts"):
+            total += np.frombuffer(zlib.decompress(b.as_py()), np.uint32)
+        level = np.log2(np.maximum(total, 1)).astype(np.uint8)
+        return pa.table({"block": blocks.column("block").slice(0, 1), "level": pa.array([level.tobytes()], pa.binary())})
 
-    @F.pandas_udf("size int, set binary, bands array<long>")
+    parts = texts.mapInArrow(count, "block int, counts binary")
+    levels = np.zeros(1 << COUNTER_BITS, np.uint8)
+    for r in parts.groupBy("block").applyInArrow(add, "block int, level binary").collect():  # one byte a counter
+        levels[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["level"], np.uint8)
+    return levels
+
+
+def prefix(hashes: np.ndarray, levels: np.ndarray, least: float) -> np.ndarray:
+    """The ``n - ceil(least * n) + 1`` rarest shingles, rarest first, equally rare ones by hash.
+
+    Two sets at a similarity of ``least`` share so many shingles that, in any common order, these prefixes meet.
+    """
+    width = len(hashes) - math.ceil(least * len(hashes) - 1e-9) + 1
+    return hashes[np.lexsort((hashes, levels[counter(hashes)]))[:width]]
+
+
+def signed_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int, least: float) -> DataFrame:
+    """``at, row, rank, size, set, fp, keys, text``: rows numbered once, with size, digest, fingerprint and prefix of their sets."""
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    levels = shingle_levels(docs.select(text.alias("text")), shingle)
+
+    @F.pandas_udf("size int, set binary, fp long, keys array<long>")
     def signature(text: pd.Series) -> pd.DataFrame:
         from xxhash import xxh128_digest
 
         sets = [shingle_set(t, shingle) for t in text]
         return pd.DataFrame(
-            {"size": [len(s) for s in sets], "set": [xxh128_digest(s.tobytes()) for s in sets], "bands": [bands(s) for s in sets]}
+            {
+                "size": [len(s) for s in sets],
+                "set": [xxh128_digest(s.tobytes()) for s in sets],
+                "fp": [set_fingerprint(s) for s in sets],
+                "keys": [prefix(s, levels, least).view(np.int64) if len(s) else [] for s in sets],
+            }
         )
 
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(
         F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
         signature(text).alias("own"),
@@ -90,64 +144,90 @@ def similar_pairs(pairs: DataFrame, rows: DataFrame, shingle: int, least: float)
     return met.mapInArrow(run, "a long, b long")
 
 
-def candidates(left: DataFrame, right: DataFrame, apart, least: float) -> DataFrame:
-    """Distinct pairs of one bucket in different components whose sizes allow the similarity."""
-    fits = F.least("l.size", "r.size") / F.greatest("l.size", "r.size") >= least
+def candidates(left: DataFrame, right: DataFrame, apart: Column, least: float) -> DataFrame:
+    """Distinct pairs of one bucket in different components that can reach the similarity.
+
+    With ``place`` the shared shingle's places in the two orders, the sets have at most the shingles from there on in common.
+    """
+    sizes = F.col("l.size") + F.col("r.size")
+    ahead = F.least(F.col("l.size") - F.col("l.place"), F.col("r.size") - F.col("r.place"))
+    fits = (F.least("l.size", "r.size") >= (least - 1e-9) * F.greatest("l.size", "r.size")) & (
+        ahead >= (least / (1 + least) - 1e-9) * sizes
+    )
     pairs = left.alias("l").join(right.alias("r"), "bucket").filter(apart & fits)
     return pairs.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
+def with_components(nodes: DataFrame, groups: DataFrame | None) -> DataFrame:
+    nodes = nodes.drop("component")
+    if groups is None:
+        return nodes.withColumn("component", F.col("node"))
+    return nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def mixed(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components."""
+    several = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    return members.join(several.select("bucket"), "bucket")
+
+
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = SIMILARITY
 ) -> DataFrame:
     """The rows of ``docs`` without near copies: one row per group of texts linked by a Jaccard similarity of ``least``.
 
     Similarity is that of the sets of ``shingle``-word shingles (ASCII letters lowered, ASCII white space
-    splits, compared by 64-bit hashes), counted in full for every candidate pair. A pair is a candidate if it
-    shares one of ``BANDS`` MinHash bands. Texts with equal sets collapse first.
+    splits, compared by 64-bit hashes), counted in full for every candidate pair. Texts with equal sets
+    collapse first. Candidates are the pairs whose SimHash fingerprints meet in the vantage-point tree, then all pairs
+    that share a shingle of their prefixes, so no pair at the similarity is missed. A prefix holds a set's rarest
+    shingles, by a sketch of all texts' shingles, so what many texts share is a key of hardly any.
 
     A bucket is compared from leaders: all members meet one member of the bucket's smallest component, so a
     dense group of n costs n pairs and its rows stay in tables. After ``LEADER_ROUNDS`` rounds what is still in
     different components of a bucket is compared pair by pair.
 
     Of a group the row with the smallest id stays, of rows that repeat that id the one with the least MD5 of
-    its text, of equal rows any one. A null id comes last. Texts without words are one group.
+    its text, of equal rows any one. A null id comes last. Texts without words are one group; an empty table stays empty.
     """
-    rows = signed_rows(docs, id_col, text_col, shingle)
+    rows = signed_rows(docs, id_col, text_col, shingle, least)
     sets = materialize(
-        rows.groupBy("set").agg(
-            F.min(F.struct("at", "size", "bands")).alias("own"), F.min(F.struct("rank", "at")).alias("best")
-        ).select(F.col("own.at").alias("node"), "own.size", "own.bands", "best"),
+        rows.groupBy("set").agg(F.min(F.struct("at", "size", "fp")).alias("own"), F.min(F.struct("rank", "at")).alias("best"))
+        .select(F.col("own.at").alias("node"), "own.size", "own.fp", "best"),
         "near_sets",
     )
-    members = sets.select("node", "size", F.explode("bands").alias("bucket"))
+    heads = sets.groupBy("fp").agg(F.min("node").alias("id"))
+    same = sets.join(heads, "fp").filter("id < node").select(F.col("id").alias("a"), F.col("node").alias("b"))
+    close = near_links(materialize(heads.select("fp", "id"), "near_fps"), radius=SIMHASH_RADIUS)
+    first = same.union(close.select(F.least("a", "b"), F.greatest("a", "b")))
+    links = materialize(similar_pairs(first, rows, shingle, least), "near_links")
+    groups = None if links.isEmpty() else materialize(components(links), "near_groups")
+
+    own = rows.join(sets.select(F.col("node").alias("at")), "at", "left_semi")
+    members = own.select(F.col("at").alias("node"), "size", F.posexplode("keys").alias("place", "bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    open_ = materialize(members.join(shared, "bucket").withColumn("component", F.col("node")), "near_open")
-    links = None
-    groups = None
+    open_ = materialize(mixed(with_components(members.join(shared, "bucket"), groups)), "near_open")
     for turn in range(LEADER_ROUNDS + 1):
         if open_.isEmpty():
             break
         if turn < LEADER_ROUNDS:
-            by = open_.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("m"))
+            by = open_.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min(F.struct("node", "size", "place")).alias("m"))
             lead = by.groupBy("bucket").agg(F.min(F.struct("n", "component", "m")).alias("x"))
             lead = lead.select("bucket", F.col("x.component").alias("component"), "x.m.*")
             pairs = candidates(open_, lead, F.col("l.component") != F.col("r.component"), least)
         else:
             pairs = candidates(open_, open_, F.col("l.component") < F.col("r.component"), least)
         found = materialize(similar_pairs(pairs, rows, shingle, least), "near_links")
-        links = found if links is None else links.union(found)
-        groups = materialize(components(links), "near_groups")
+        if not found.isEmpty():
+            links = links.union(found)
+            groups = materialize(components(links), "near_groups")
         if turn == LEADER_ROUNDS:
             break
         # the leader has met every other member; a bucket in one component is done
-        rest = open_.alias("l").join(lead.alias("r"), "bucket").filter("l.node <> r.node").select("bucket", "l.node", "l.size")
-        rest = rest.join(groups, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
-        mixed = rest.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
-        open_ = materialize(rest.join(mixed, "bucket"), "near_open")
-    own = F.col("node")
+        rest = open_.alias("l").join(lead.select("bucket", F.col("node").alias("leader")), "bucket").filter("node <> leader")
+        open_ = materialize(mixed(with_components(rest.drop("leader"), groups)), "near_open")
+    component = F.col("node")
     if groups is not None:
         sets = sets.join(groups, "node", "left")
-        own = F.coalesce("component", "node")
-    kept = sets.groupBy(own.alias("group")).agg(F.min("best").alias("best")).select(F.col("best.at").alias("at"))
+        component = F.coalesce("component", "node")
+    kept = sets.groupBy(component.alias("group")).agg(F.min("best").alias("best")).select(F.col("best.at").alias("at"))
     return rows.join(kept, "at", "left_semi").select("row.*")
