@@ -6,7 +6,7 @@ the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.batches import prepare
@@ -25,10 +25,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id stays."""
-    kept = exact_dedup(docs, keep="max").filter("kept").select(F.col("doc_id").alias("own"), "text_sha256").distinct()
+    """Of equal texts the row with the largest id stays, one of the rows if that id and text are repeated."""
+    kept = exact_dedup(docs, keep="max").filter("kept")
+    kept = kept.select(_id_and_text(F.col("doc_id"), F.col("text_sha256")).alias("own")).distinct()
     sha = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["own"]) & (sha == kept["text_sha256"]), "left_semi")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _id_and_text(docs["doc_id"], sha).alias("own")).join(kept, "own")
+    nth = F.row_number().over(Window.partitionBy("own").orderBy("own"))
+    return rows.withColumn("nth", nth).filter("nth = 1").select("row.*")
+
+
+def _id_and_text(doc_id: Column, text_sha256: Column) -> Column:
+    return F.concat(F.coalesce(F.concat(F.lit("id "), doc_id.cast("string")), F.lit("no id")), F.lit(" "), text_sha256)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,11 +50,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     taken = (
         mix(docs).select(F.col("doc_id").alias("own"), copies.alias("copies")).groupBy("own").agg(F.max("copies").alias("copies"))
     ).filter("copies > 0")
-    return (
-        docs.join(taken, docs["doc_id"].eqNullSafe(taken["own"]))
-        .select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy"))
-        .drop("copy")
-    )
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"))
+    again = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
+    return rows.join(taken, F.col("id").eqNullSafe(F.col("own"))).select("row", again.alias("again")).select("row.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
