@@ -86,6 +86,14 @@ request_log AS (
   FROM events
 )"""
 
+DRIFT_LOG = """
+drift_log AS (
+  SELECT ts, CASE WHEN late AND hour(ts) % 4 = 0 THEN value * CAST(1.5 AS DOUBLE) ELSE value END AS amount,
+    CASE WHEN late AND hour(ts) = 10 AND event_type = 'view' THEN 'preview' ELSE event_type END AS kind, user_id % 3 = 0 AS flagged,
+    CASE WHEN late AND hour(ts) % 6 = 0 THEN score * CAST(0.5 AS DOUBLE) ELSE score END AS score
+  FROM (SELECT *, ts >= TIMESTAMP '2024-01-08 00:00:00' AS late, CAST((event_id * 7919) % 1009 AS DOUBLE) / 1009 AS score FROM events)
+)"""
+
 LOOKUP = """
 requests AS (
   SELECT event_id, user_id AS loan_id, ts AS req_ts, value FROM events WHERE event_type = 'purchase'

@@ -225,6 +225,27 @@ def request_log(spark: SparkSession, sf_dir: str, streaming: bool = False) -> Da
     )
 
 
+DRIFT_LOG_START = "2024-01-08 00:00:00"
+
+
+def drift_log(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """B9: events as a prediction log; amounts grow in every fourth hour, scores halve in every sixth, a new kind comes at ten."""
+    if streaming:
+        events = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events*.parquet")
+    else:
+        events = table(spark, sf_dir, "events")
+    at = F.col("ts").cast("timestamp")
+    late = at >= F.lit(DRIFT_LOG_START).cast("timestamp")
+    score = ((F.col("event_id") * 7919) % 1009).cast("double") / 1009
+    return events.select(
+        at.alias("ts"),
+        F.when(late & (F.hour("ts") % 4 == 0), F.col("value") * 1.5).otherwise(F.col("value")).alias("amount"),
+        F.when(late & (F.hour("ts") == 10) & (F.col("event_type") == "view"), "preview").otherwise(F.col("event_type")).alias("kind"),
+        (F.col("user_id") % 3 == 0).alias("flagged"),
+        F.when(late & (F.hour("ts") % 6 == 0), score * 0.5).otherwise(score).alias("score"),
+    )
+
+
 def lookup_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """B6: purchases ask for features, views are the feature snapshots."""
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

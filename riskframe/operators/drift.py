@@ -48,6 +48,7 @@ class CountedReference:
     text: list[str]
     numbers: DataFrame | None
     words: DataFrame | None
+    rows: int
 
 
 def count_reference(reference: DataFrame, target: str | None = None) -> CountedReference:
@@ -57,7 +58,7 @@ def count_reference(reference: DataFrame, target: str | None = None) -> CountedR
     text = [c for c in string_columns(reference) if c != target]
     numbers = materialize(_value_counts(reference, numeric, "double"), "reference-numbers") if numeric else None
     words = materialize(_value_counts(reference, text, "string"), "reference-words") if text else None
-    return CountedReference(numeric, text, numbers, words)
+    return CountedReference(numeric, text, numbers, words, reference.count())
 
 
 def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
@@ -138,24 +139,24 @@ def chi2_p(statistic: Column, dof: Column) -> Column:
 
 def chi2_drift(reference: DataFrame, current: DataFrame, columns: list[str], alpha: float = ALPHA) -> DataFrame:
     """χ² test of equal category shares per text column; a missing value is a category of its own."""
-    return _chi2(_both_sides(reference, current, columns, "string"), alpha)
+    return _chi2(_both_sides(reference, current, columns, "string"), reference.count(), current.count(), alpha)
 
 
-def _chi2(counts: DataFrame, alpha: float) -> DataFrame:
-    """With R and C rows on the sides and N in all, the sum of (seen - expected)²/expected over both sides is
-    N/R Σ r²/(r + c) + N/C Σ c²/(r + c) - N, so one aggregate does and the totals need no join."""
-    r, c = F.col("r").cast("double"), F.col("c").cast("double")
+def _chi2(counts: DataFrame, rows: int, current_rows: int, alpha: float) -> DataFrame:
+    """With R and C rows on the sides, the sum of (seen - expected)²/expected over both sides is
+    Σ (r C - c R)²/(r + c) / (R C). As missing values count, R and C are the sides' rows, the same for all columns: plan
+    constants, so one aggregate does and nothing of the size of R or C is subtracted after summing."""
+    gap = F.col("r") * F.lit(float(current_rows)) - F.col("c") * F.lit(float(rows))
+    terms = gap * gap / (F.col("r") + F.col("c"))
     sums = counts.groupBy("column").agg(
-        F.sum(r * r / (r + c)).alias("_r"),
-        F.sum(c * c / (r + c)).alias("_c"),
+        F.sum(terms).alias("_terms"),
         (F.count("*") - 1).alias("dof"),
         F.sum("r").alias("n_reference"),
         F.sum("c").alias("n_current"),
     )
-    n = F.col("n_reference") + F.col("n_current")
-    statistic = n * F.try_divide("_r", "n_reference") + n * F.try_divide("_c", "n_current") - n
+    statistic = F.try_divide(F.col("_terms"), F.lit(float(rows) * float(current_rows)))
     return (
-        sums.withColumn("statistic", F.greatest(F.coalesce(statistic, F.lit(0.0)), F.lit(0.0)))
+        sums.withColumn("statistic", F.coalesce(statistic, F.lit(0.0)))
         .select("column", "statistic", "dof", "n_reference", "n_current")
         .withColumn("p_value", chi2_p(F.col("statistic"), F.col("dof").cast("double")))
         .withColumn("drifted", F.col("p_value") < alpha)
@@ -186,7 +187,8 @@ def column_drift(
         tests = _ks(met(numeric, "double", counted and counted.numbers), alpha)
         parts.append(tests.withColumn("test", F.lit("ks")).select(*out))
     if text:
-        tests = _chi2(met(text, "string", counted and counted.words), alpha)
+        known_rows = counted.rows if counted else reference.count()
+        tests = _chi2(met(text, "string", counted and counted.words), known_rows, current.count(), alpha)
         parts.append(tests.withColumn("test", F.lit("chi2")).select(*out))
     if not parts:
         raise ValueError("the frames have no common column to compare")
@@ -230,6 +232,100 @@ def live_performance(
     return evaluate(with_truth(predictions, labels, key, y), score, y, pred).filter(F.col("name").isin(wanted))
 
 
+# --- drift by period --------------------------------------------------------------------------
+
+
+def period_counts(current: DataFrame, reference: CountedReference, ts: str, every: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """``(at, column, number, word, n)``: occurrences of every value per period of event time.
+
+    For a batch, or a stream, which gives a period's counts once its watermark, ``delay`` behind the newest time, has passed
+    the period's end. Its state is one counter per (period, column, value). A missing value has neither number nor word.
+    """
+    if current.isStreaming:
+        current = current.withWatermark(ts, delay)
+    features = [c for c in current.columns if c != ts]
+    kinds = dict(current.dtypes)
+    entries = []
+    for c in reference.numeric:
+        if c in features:
+            entries.append((c, F.col(c).cast("double"), F.lit(None).cast("string")))
+    for c in reference.text:
+        if c in features:
+            word = F.date_format(c, "yyyy-MM-dd") if kinds[c].startswith(("date", "timestamp")) else F.col(c).cast("string")
+            entries.append((c, F.lit(None).cast("double"), word))
+    if not entries:
+        raise ValueError("the frames have no common column to compare")
+    values = F.array(*[F.struct(F.lit(c).alias("column"), n.alias("number"), w.alias("word")) for c, n, w in entries])
+    long = current.select(F.col(ts), F.explode(values).alias("v"))
+    counts = long.groupBy(F.window(ts, every).alias("w"), "v.column", "v.number", "v.word").agg(F.count("*").alias("n"))
+    return counts.select(F.col("w.start").alias("at"), "column", "number", "word", "n")
+
+
+def _ks_by_period(reference: CountedReference, counts: DataFrame, alpha: float) -> DataFrame:
+    """Largest gap of the two distribution functions per (period, column).
+
+    Between two values of a period its own function is flat, so the largest gap lies at one of its values or right before one:
+    the reference's running sums are needed at these values only, and are formed once for all periods.
+    """
+    own = counts.filter(F.col("number").isNotNull()).select("at", "column", F.col("number").alias("value"), F.col("n").alias("c"))
+    zero = F.lit(0).cast("long")
+    spots = reference.numbers.filter(F.col("value").isNotNull()).select("column", "value", F.col("n").alias("r"))
+    spots = spots.unionByName(own.select("column", "value", zero.alias("r")).distinct())
+    known = running_totals(spots.groupBy("column", "value").agg(F.sum("r").alias("r")), ["column"], ["value"], ["r"])
+    run = running_totals(own, ["at", "column"], ["value"], ["c"]).join(known, ["column", "value"])
+    after = F.abs(F.col("cum_r") / F.col("total_r") - F.col("cum_c") / F.col("total_c"))
+    before = F.abs((F.col("cum_r") - F.col("r")) / F.col("total_r") - (F.col("cum_c") - F.col("c")) / F.col("total_c"))
+    tests = run.filter("total_r > 0").groupBy("at", "column").agg(
+        F.max(F.greatest(after, before)).alias("statistic"), F.max("total_r").alias("n"), F.max("total_c").alias("m")
+    )
+    p = kolmogorov_p(F.col("statistic"), F.col("n").cast("double"), F.col("m").cast("double"))
+    return tests.select("at", "column", F.lit("ks").alias("test"), "statistic", p.alias("p_value")).withColumn(
+        "drifted", F.col("p_value") < alpha
+    )
+
+
+def _chi2_by_period(reference: CountedReference, counts: DataFrame, alpha: float) -> DataFrame:
+    """χ² per (period, column): only the period's own categories meet the reference's.
+
+    A category of the reference alone adds r C² to the sum of (r C - c R)²/(r + c), so all of them together add C² times the
+    reference rows that the period's categories do not cover.
+    """
+    rows, known = reference.rows, reference.words
+    kinds = {r["column"]: r["n"] for r in known.groupBy("column").agg(F.count("*").alias("n")).collect()}  # a row a column
+    own = counts.filter(F.col("column").isin(reference.text)).select("at", "column", F.col("word").alias("value"), F.col("n").alias("c"))
+    totals = own.groupBy("at", "column").agg(F.sum("c").alias("total"))
+    met = own.join(totals, ["at", "column"]).alias("o").join(
+        known.alias("k"), (F.col("o.column") == F.col("k.column")) & F.col("o.value").eqNullSafe(F.col("k.value")), "left"
+    ).select("o.*", F.coalesce("k.n", F.lit(0)).alias("r"))
+    gap = F.col("r") * F.col("total").cast("double") - F.col("c") * F.lit(float(rows))
+    sums = met.groupBy("at", "column", "total").agg(
+        F.sum(gap * gap / (F.col("r") + F.col("c"))).alias("terms"), F.sum("r").alias("covered"), F.count_if(F.col("r") == 0).alias("new")
+    )
+    c = F.col("total").cast("double")
+    of_column = F.when(F.lit(False), F.lit(0))
+    for column, n in kinds.items():
+        of_column = of_column.when(F.col("column") == column, F.lit(n))
+    statistic = F.try_divide(F.col("terms") + c * c * (F.lit(rows) - F.col("covered")), F.lit(float(rows)) * c)
+    tests = sums.select(
+        "at", "column", F.lit("chi2").alias("test"), F.coalesce(statistic, F.lit(0.0)).alias("statistic"), (of_column + F.col("new") - 1).alias("dof")
+    )
+    tests = tests.withColumn("p_value", chi2_p(F.col("statistic"), F.col("dof").cast("double"))).drop("dof")
+    return tests.withColumn("drifted", F.col("p_value") < alpha)
+
+
+def drift_by_period(reference: CountedReference, counts: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """``(at, column, test, statistic, p_value, drifted)``: every period's counts against the reference.
+
+    The same tests as ``column_drift`` of the period's rows alone. A numeric column without a value in a period has no test there.
+    """
+    parts = []
+    if reference.numbers is not None:
+        parts.append(_ks_by_period(reference, counts.filter(F.col("column").isin(reference.numeric)), alpha))
+    if reference.words is not None:
+        parts.append(_chi2_by_period(reference, counts, alpha))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 # --- data quality -----------------------------------------------------------------------------
 
 

@@ -6,14 +6,15 @@ requests, are copied into the windows they belong to.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.ordered import quantiles_by
-from riskframe.schemas import ALERT_HOLD_SECONDS, ALERT_LIMITS
+from riskframe.schemas import ALERT_HOLD_SECONDS, ALERT_LIFETIMES, ALERT_LIMITS
 
 WINDOW_SECONDS = 300
 SLIDE_SECONDS = 60
+SKETCH_K = 1_000
 
 # Upper bounds in seconds of the usual latency histogram.
 LATENCY_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
@@ -75,22 +76,51 @@ def request_windows(log: DataFrame, window: int = WINDOW_SECONDS, slide: int = S
     )
 
 
-def request_windows_stream(log: DataFrame, window: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS) -> DataFrame:
-    """The same table from a stream, with an approximate p95; late rows count for ten minutes."""
-    grouped = log.withWatermark("ts", "10 minutes").groupBy(
-        F.window("ts", f"{window} seconds", f"{slide} seconds").alias("w")
-    )
-    return grouped.agg(
+def request_panes(log: DataFrame, slide: int = SLIDE_SECONDS, k: int = SKETCH_K) -> DataFrame:
+    """``(pane, requests, errors, timed, sketch)`` per pane of one slide, of a batch or a stream.
+
+    A request falls into one pane, so a stream keeps one state row per pane: three counters and a quantile sketch of the
+    latencies, which has a few kilobytes however many requests the pane holds. Late rows of a stream count for ten minutes.
+    """
+    if log.isStreaming:
+        log = log.withWatermark("ts", "10 minutes")
+    grouped = log.groupBy(F.window("ts", f"{slide} seconds").alias("w"))
+    totals = grouped.agg(
         F.count("*").alias("requests"),
         F.count_if(F.col("status") >= 500).alias("errors"),
-        F.percentile_approx("latency_s", 0.95, 10_000).alias("p95"),
-    ).select(
-        F.unix_timestamp("w.start").alias("window_start"),
+        F.count("latency_s").alias("timed"),
+        F.kll_sketch_agg_double(F.col("latency_s"), F.lit(k)).alias("sketch"),
+    )
+    return totals.select(F.unix_timestamp("w.start").alias("pane"), "requests", "errors", "timed", "sketch")
+
+
+def windows_of_panes(
+    panes: DataFrame, p: float = 0.95, window: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS
+) -> DataFrame:
+    """Request windows with ``p95`` from panes: counters are added, sketches merged.
+
+    Only panes are copied into the windows that cover them. The quantile is a latency that occurred; its rank is off by
+    1.7 / k^0.9 of the window's requests with high probability, and exact while a window holds no more than ``k``.
+    """
+    sketch = F.when(F.col("timed") > 0, F.col("sketch"))
+    totals = (
+        _windows(panes.withColumn("sketch", sketch), window, slide)
+        .groupBy("window_start")
+        .agg(
+            F.sum("requests").alias("requests"),
+            F.sum("errors").alias("errors"),
+            F.sum("timed").alias("timed"),
+            F.kll_merge_agg_double("sketch").alias("sketch"),
+        )
+    )
+    quantile = F.kll_sketch_get_quantile_double(F.col("sketch"), F.lit(p))
+    return totals.select(
+        "window_start",
         "requests",
         "errors",
         (F.col("requests") / float(window)).alias("request_rate"),
         (F.col("errors") / F.col("requests")).alias("error_ratio"),
-        "p95",
+        F.when(F.col("timed") > 0, quantile).alias("p95"),
     )
 
 
@@ -174,3 +204,60 @@ def alerts(
             F.when(F.col("breaches") >= needed, "firing").otherwise("pending").alias("state"),
         )
     )
+
+
+def _of_metric(values: dict[str, float], kind: str) -> Column:
+    """The value of the row's metric."""
+    out = F.when(F.lit(False), F.lit(None).cast(kind))
+    for metric, value in values.items():
+        out = out.when(F.col("metric") == metric, F.lit(value).cast(kind))
+    return out
+
+
+EPISODE = ["metric", "started", "last_at", "points", "peak"]
+
+
+def alert_episodes(
+    series: DataFrame,
+    limits: dict[str, float] = ALERT_LIMITS,
+    lifetimes: dict[str, int] = ALERT_LIFETIMES,
+    hold: int = ALERT_HOLD_SECONDS,
+    open_episodes: DataFrame | None = None,
+) -> DataFrame:
+    """Unbroken breaches of ``(metric, at, value)``: ``metric, started, last_at, points, peak, ended, fires_at``.
+
+    A value stands until the next one of its metric, at most for the metric's lifetime; metrics may come at different
+    times and intervals. A breach ends where a value within the limit comes or the last value runs out; it fires at
+    ``started + hold`` if it still stands then. ``ended`` is null as long as the newest value of the metric is part
+    of the breach. Episodes left open by an earlier call go on (``open_episodes``: ``metric, started, last_at, points, peak``).
+    Metrics without a limit are left out. The series hold a point a minute or fewer, so a metric is one window.
+    """
+    points = series.select("metric", F.col("at").cast("long").alias("at"), F.col("value").cast("double").alias("value"))
+    points = points.filter(F.col("metric").isin(list(limits)) & F.col("value").isNotNull())
+    entries = points.select(
+        "metric", "at", F.col("at").alias("started"), F.lit(1).cast("long").alias("points"), F.col("value").alias("peak"),
+        (F.col("value") > _of_metric(limits, "double")).alias("breach"),
+    )
+    if open_episodes is not None:
+        known = open_episodes.select("metric", F.col("last_at").alias("at"), "started", "points", "peak", F.lit(True).alias("breach"))
+        entries = entries.unionByName(known)
+    in_order = Window.partitionBy("metric").orderBy("at", F.desc("points"))
+    lifetime = _of_metric(lifetimes, "long")
+    goes_on = F.lag("breach").over(in_order) & (F.col("at") - F.lag("at").over(in_order) <= lifetime)
+    entries = entries.withColumns({"next_at": F.lead("at").over(in_order), "new": (~F.coalesce(goes_on, F.lit(False))).cast("int")})
+    entries = entries.filter("breach").withColumn("island", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    episodes = entries.groupBy("metric", "island").agg(
+        F.min("started").alias("started"),
+        F.max("at").alias("last_at"),
+        F.sum("points").alias("points"),
+        F.max("peak").alias("peak"),
+        F.max_by("next_at", "at").alias("next_at"),
+    )
+    runs_out = F.col("last_at") + lifetime
+    stands_until = F.coalesce(F.least("next_at", runs_out), runs_out)
+    fires = F.col("started") + hold
+    return episodes.select(
+        *EPISODE,
+        F.when(F.col("next_at").isNotNull(), stands_until).alias("ended"),
+        F.when(stands_until > fires, fires).alias("fires_at"),
+    )

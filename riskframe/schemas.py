@@ -163,6 +163,8 @@ ALERT_LIMITS = {
     "p95_latency": 0.5,
 }
 ALERT_HOLD_SECONDS = 60
+# how long a value stands if no newer one comes: drift is measured every hour, requests every minute
+ALERT_LIFETIMES = {"drift_share": 3600, "prediction_drift": 3600, "error_ratio": 60, "p95_latency": 60}
 
 FEATURE_TTL_SECONDS = 3600
 RISK_HIGH = 0.7

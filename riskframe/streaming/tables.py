@@ -15,13 +15,10 @@ def write_batch(batch: DataFrame, path: str, batch_id: int, partition_by: list[s
     writer.parquet(f"{path}/batch_id={batch_id}")
 
 
-def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """All batches written so far with their ``batch_id``; None before the first one."""
+def read_batches(spark: SparkSession, *paths: str, base: str | None = None) -> DataFrame | None:
+    """All batches written so far with their ``batch_id``, or those in the given folders of ``base``; None before the first one."""
     try:
-        reader = spark.read.option("basePath", path)
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(path)
+        return spark.read.option("basePath", base or paths[0]).parquet(*paths)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" in str(missing) or "UNABLE_TO_INFER_SCHEMA" in str(missing):
             return None
