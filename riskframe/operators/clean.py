@@ -501,9 +501,20 @@ def _violation(rule: Rule, present: bool) -> list[Column]:
     return [F.when(bad, F.lit(f"{rule.field}: {text}")) for bad, text in checks]
 
 
-def request_errors(df: DataFrame, rules: list[Rule] = REQUEST_RULES) -> DataFrame:
-    """Add ``errors``: one text per broken rule, naming the field."""
-    checks = [v for rule in rules for v in _violation(rule, rule.field in df.columns)]
+def request_errors(df: DataFrame, rules: list[Rule] = REQUEST_RULES, types: dict[str, Column] | None = None) -> DataFrame:
+    """Add ``errors``: one text per broken rule, naming the field.
+
+    ``types`` says, for fields that were read from text, what is wrong with the value's type (null: nothing); such a value
+    breaks no other rule.
+    """
+    checks = []
+    for rule in rules:
+        broken = _violation(rule, rule.field in df.columns)
+        if types and rule.field in types:
+            wrong = types[rule.field]
+            checks.append(F.concat(F.lit(f"{rule.field}: "), wrong))
+            broken = [F.when(wrong.isNull(), v) for v in broken]
+        checks += broken
     return df.withColumn("errors", F.array_compact(F.array(*checks)))
 
 

@@ -47,6 +47,32 @@ def test_parsing(spark):
     assert "loan_amnt: Field required" in got[6]["errors"]
 
 
+def test_values_are_read_as_they_come(spark):
+    rows = [
+        request("a", dti="10.5", open_acc=1.0, total_acc="7", int_rate="12", revol_util=None, emp_length=True),
+        request("b", dti="much", open_acc=1.5, total_acc="7.5", int_rate=[1], purpose=3, annual_inc=None, pub_rec=2**40),
+        request(5, dti="-1"),
+    ]
+    texts = [json.dumps(r) for r in rows] + [json.dumps({"input": rows[0]}), "[1, 2]", "7", json.dumps({"input": 5}), ""]
+    got = {r["message_id"]: r for r in parse_messages(messages(spark, [(i, 0, t) for i, t in enumerate(texts)] + [(99, 0, None)])).collect()}
+    for i in (0, 3):
+        assert got[i]["errors"] == []
+        fields = [got[i][c] for c in ("loan_id", "dti", "open_acc", "total_acc", "int_rate", "revol_util", "emp_length")]
+        assert fields == ["a", 10.5, 1, 7, 12.0, None, 1.0]
+    assert set(got[1]["errors"]) == {
+        "dti: Input should be a valid number, unable to parse string as a number",
+        "open_acc: Input should be a valid integer, got a number with a fractional part",
+        "total_acc: Input should be a valid integer, unable to parse string as an integer",
+        "int_rate: Input should be a valid number",
+        "purpose: Input should be a valid string",
+        "annual_inc: Input should be a valid number",
+        "pub_rec: Input should be a valid integer",
+    }
+    assert got[2]["errors"] == ["loan_id: Input should be a valid string", "dti: Input should be greater than or equal to 0"]
+    assert all(got[i]["errors"] == [BAD_JSON] for i in (4, 5, 7, 99))
+    assert "loan_amnt: Field required" in got[6]["errors"]
+
+
 def test_scoring_batches_use_and_refresh_features(spark, tmp_path):
     tables = ScoringTables.under(str(tmp_path))
     first = messages(spark, [(1, 0, json.dumps(request("x", dti=40.0))), (2, 1, json.dumps(request(None, dti=1.0))), (3, 2, "bad")])
