@@ -26,6 +26,7 @@ def with_bucket(df: DataFrame, keys: list[str], order: list[str], rows_per_bucke
     ranges are written once, so a recomputed task reads the same ones. ``split`` says that the key may lie in
     several ranges; rows of all other keys need nothing from another one.
     """
+    df = materialize(df, "ordered")  # counting, sampling for ranges and ranging read the written rows
     buckets = math.ceil(df.count() / rows_per_bucket)
     if buckets <= 1:
         return df.withColumns({"bucket": F.lit(0), "split": F.lit(False)})
@@ -135,9 +136,10 @@ class ColumnCounts:
     present: int
 
 
-# Up to this many values a column is ranked in one window partition; beyond, it is narrowed first.
-SMALL_COLUMN = 2_000_000
+# Values inside a bracket that are shuffled and ranked; a bracket with more is narrowed again.
+BRACKET_ROWS = 2_000_000
 ACCURACY = 5_000
+MAX_NARROWINGS = 8
 EVERYTHING = (float("-inf"), float("inf"))
 
 Spans = dict[str, list[tuple[float, float]]]
@@ -184,24 +186,31 @@ def _spans(df: DataFrame, counts: dict[str, ColumnCounts], wanted: dict[str, lis
 
 
 def values_at(
-    df: DataFrame, counts: dict[str, ColumnCounts], ranks: dict[str, set[int]], small: int = SMALL_COLUMN
+    df: DataFrame, counts: dict[str, ColumnCounts], ranks: dict[str, set[int]], most: int = BRACKET_ROWS
 ) -> dict[tuple[str, int], float]:
     """Exact values at 0-based ranks among the non-null values of each column.
 
-    Columns of a size known to be small are counted and ranked as they are. For larger ones an
-    approximate pass says between which two values each rank lies, one aggregate counts the rows below
-    and inside these ranges, and only rows inside a range are shuffled and ranked. A rank that falls
-    outside its range (it should not) is looked up again over the whole column.
+    An approximate pass says between which two values each rank lies, one aggregate counts the rows below and inside
+    these brackets, and only rows inside are shuffled and ranked. A bracket of more than ``most`` rows is narrowed
+    by another approximate pass over its own rows, so at every size the same steps lead to brackets that
+    one task can rank, except where a single value fills one, which collapses before the shuffle. A rank that falls
+    outside its bracket (it should not) is looked up again over the whole column.
     """
     wanted = {c: sorted(r for r in rs if 0 <= r < counts[c].present) for c, rs in ranks.items()}
     wanted = {c: rs for c, rs in wanted.items() if rs}
     if not wanted:
         return {}
-    if max(counts[c].present for c in wanted) <= small:
-        return _search(df, {c: [EVERYTHING] for c in wanted}, wanted, {(c, 0): 0 for c in wanted}, bucketed=False)
+    found: dict[tuple[str, int], float] = {}
     spans = _spans(df, counts, wanted)
-    below, size = _count_spans(df, spans)
-    found = _search(df, spans, wanted, below, bucketed=size > small)
+    for _ in range(MAX_NARROWINGS):
+        below, inside = _count_spans(df, spans)
+        if max(inside.values()) <= most:
+            break
+        narrower = _narrowed(df, spans, below, inside, wanted, most)
+        if narrower == spans:
+            break
+        spans = narrower
+    found.update(_search(df, spans, wanted, below, bucketed=max(inside.values()) > most))
     missed = {c: [r for r in rs if (c, r) not in found] for c, rs in wanted.items()}
     missed = {c: rs for c, rs in missed.items() if rs}
     if missed:
@@ -210,8 +219,35 @@ def values_at(
     return found
 
 
-def _count_spans(df: DataFrame, spans: Spans) -> tuple[dict[tuple[str, int], int], int]:
-    """Rows below every span, and the size of the fullest span."""
+def _narrowed(
+    df: DataFrame, spans: Spans, below: dict[tuple[str, int], int], inside: dict[tuple[str, int], int], wanted: dict[str, list[int]], most: int
+) -> Spans:
+    """Brackets of the same ranks, those of more than ``most`` rows drawn anew from their own rows."""
+    full = {(c, i): f"s{j}" for j, (c, i) in enumerate(k for k, n in inside.items() if n > most)}
+    columns, own_counts, own_ranks = [], {}, {}
+    for (c, i), name in full.items():
+        lo, hi = spans[c][i]
+        value = F.col(c).cast("double")
+        columns.append(F.when((value >= lo) & (value <= hi), value).alias(name))
+        own_counts[name] = ColumnCounts(inside[c, i], inside[c, i])
+        own_ranks[name] = [r - below[c, i] for r in wanted[c] if below[c, i] <= r < below[c, i] + inside[c, i]]
+    own_ranks = {name: rs for name, rs in own_ranks.items() if rs}
+    drawn = _spans(df.select(*columns), own_counts, own_ranks) if own_ranks else {}
+    out = {}
+    for c, brackets in spans.items():
+        parts = []
+        for i, (lo, hi) in enumerate(brackets):
+            name = full.get((c, i))
+            if name is None:
+                parts.append((lo, hi))
+            else:
+                parts += [(max(a, lo), min(b, hi)) for a, b in drawn.get(name, [])]
+        out[c] = _merge(parts) if parts else brackets
+    return out
+
+
+def _count_spans(df: DataFrame, spans: Spans) -> tuple[dict[tuple[str, int], int], dict[tuple[str, int], int]]:
+    """Rows below and inside every span."""
     flat = [(c, i, lo, hi) for c, bs in spans.items() for i, (lo, hi) in enumerate(bs)]
     aggs = []
     for j, (c, _, lo, hi) in enumerate(flat):
@@ -221,7 +257,7 @@ def _count_spans(df: DataFrame, spans: Spans) -> tuple[dict[tuple[str, int], int
     row = df.agg(*aggs).first()
     return (
         {(c, i): row[f"below{j}"] for j, (c, i, _, _) in enumerate(flat)},
-        max(row[f"inside{j}"] for j in range(len(flat))),
+        {(c, i): row[f"inside{j}"] for j, (c, i, _, _) in enumerate(flat)},
     )
 
 
@@ -268,7 +304,7 @@ def interpolation_ranks(n: int, p: float) -> tuple[int, int, float]:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probs: list[float], small: int = SMALL_COLUMN
+    df: DataFrame, columns: list[str], probs: list[float], most: int = BRACKET_ROWS
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of every column; ``None`` for a column without values."""
     counts = column_counts(df, columns)
@@ -276,7 +312,7 @@ def exact_quantiles(
         c: {r for p in probs for r in interpolation_ranks(n.present, p)[:2]} if n.present else set()
         for c, n in counts.items()
     }
-    values = values_at(df, counts, ranks, small)
+    values = values_at(df, counts, ranks, most)
     out: dict[str, list[float | None]] = {}
     for c, n in counts.items():
         out[c] = [None] * len(probs)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.hashing import row_digest
-from riskframe.functions.ordered import exact_quantiles, quantiles_by, value_counts_long
+from riskframe.functions.ordered import exact_quantiles
 from riskframe.operators.clean import missing_profile, numeric_columns, string_columns
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -52,14 +55,16 @@ def _moments(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
 DESCRIBED = ["column", "count", "mean", "std", "min", *QUARTILES, "max"]
 
 
-def describe_numeric(df: DataFrame, columns: list[str] | None = None, by: str | None = None) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column (and group)."""
+def describe_numeric(
+    df: DataFrame, columns: list[str] | None = None, by: str | None = None, max_groups: int = 100
+) -> DataFrame:
+    """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column (and group).
+
+    Groups are classes of a target or the like; more than ``max_groups`` are an error.
+    """
     columns = columns or [c for c in numeric_columns(df) if c != by]
     if by is not None:
-        df = df.filter(F.col(by).isNotNull())
-        counts = value_counts_long(df, columns, keep=[by])
-        quartiles = quantiles_by(counts, [by, "column"], "value", QUARTILES).drop("n")
-        return _moments(df, columns, [by]).join(quartiles, [by, "column"], "left").select(by, *DESCRIBED)
+        return _describe_groups(df.filter(F.col(by).isNotNull()), columns, by, max_groups)
     quartiles = exact_quantiles(df, columns, list(QUARTILES.values()))
     at = F.col("column")
     picks = {}
@@ -71,6 +76,24 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, by: str |
     return _moments(df, columns, []).withColumns(picks).select(*DESCRIBED)
 
 
+def _describe_groups(df: DataFrame, columns: list[str], by: str, max_groups: int) -> DataFrame:
+    """A column's values in one group are a column of their own: all quartiles of all groups are bracketed and counted by the
+    same aggregates, and only values inside a bracket leave their task."""
+    groups = [r[0] for r in df.select(by).distinct().limit(max_groups + 1).collect()]
+    if len(groups) > max_groups:
+        raise ValueError(f"{by!r} has more than {max_groups} groups")
+    moments = _moments(df, columns, [by])
+    if not groups:
+        return moments.select(by, *[F.lit(None).cast("double").alias(c) if c in QUARTILES else F.col(c) for c in DESCRIBED])
+    own = {(g, c): f"q{i}_{j}" for i, g in enumerate(groups) for j, c in enumerate(columns)}
+    wide = df.select(*[F.when(F.col(by) == F.lit(g), F.col(c).cast("double")).alias(name) for (g, c), name in own.items()])
+    quartiles = exact_quantiles(wide, list(own.values()), list(QUARTILES.values()))
+    rows = [(g, c, *quartiles[name]) for (g, c), name in own.items()]
+    kind = df.schema[by].dataType.simpleString()
+    known = df.sparkSession.createDataFrame(rows, f"`{by}` {kind}, column string, " + ", ".join(f"{q} double" for q in QUARTILES))
+    return moments.join(F.broadcast(known), [by, "column"]).select(by, *DESCRIBED)  # a row per group and column
+
+
 def missing_summary(df: DataFrame, top: int = 10) -> DataFrame:
     """Columns with missing values, worst first."""
     return (
@@ -133,25 +156,47 @@ def default_rate_by(df: DataFrame, category: str, target: str, top: int = 10) ->
     )
 
 
+CORRELATION_BLOCK = 32
+
+
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(a, b, corr)`` of every pair of columns, over the rows where both are present.
 
-    Each row is read as its pairs, which collapse to one group per pair within the task; an aggregate
-    with a buffer for every pair side by side would be too wide for generated code.
+    Every task adds up products of its rows as matrices, values and their masks alike, around the columns' means, so that
+    large means do not cancel. It gives one row per column and block of ``CORRELATION_BLOCK`` others, however
+    many rows it read; these sums are added without pairs of columns ever being spread over rows.
     """
     columns = columns or numeric_columns(df)
-    pairs = list(combinations(columns, 2))
-
-    def pair(a: str, b: str):
-        return F.struct(
-            F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
-        )
-
-    return (
-        df.select(F.explode(F.array(*[pair(a, b) for a, b in pairs])).alias("e"))
-        .groupBy("e.a", "e.b")
-        .agg(F.corr("e.x", "e.y").alias("corr"))
-    )
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    means = values.agg(*[F.avg(c).alias(c) for c in values.columns]).first()
+    centre = [m if m is not None and math.isfinite(m) else 0.0 for m in means]
+    width, k = CORRELATION_BLOCK, len(columns)
+    sums = ["n", "x", "xx", "y", "yy", "xy"]
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(sums), k, k))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - centre
+            there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            x = np.where(there > 0, x, 0.0)
+            with np.errstate(invalid="ignore"):  # an infinite value makes its sums no number
+                total += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, there.T @ x, there.T @ (x * x), x.T @ x])
+        rows = [(a, b, *total[:, a, b : b + width].tolist()) for a in range(k) for b in range(0, k, width) if b + width > a]
+        types = [pa.int32(), pa.int32(), *[pa.list_(pa.float64())] * len(sums)]
+        arrays = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+        yield pa.RecordBatch.from_arrays(arrays, ["a", "block", *sums])
+
+    fields = ", ".join(f"{s} array<double>" for s in sums)
+    parts = values.mapInArrow(products, f"a int, block int, {fields}")
+    added = [F.array(*[F.sum(F.get(s, F.lit(i))) for i in range(min(width, k))]).alias(s) for s in sums]
+    blocks = parts.groupBy("a", "block").agg(*added)
+    names = F.array(*[F.lit(c) for c in columns])
+    pairs = blocks.select("a", "block", F.posexplode(F.arrays_zip(*sums)).alias("at", "s"))
+    pairs = pairs.select("a", (F.col("block") + F.col("at")).alias("b"), "s.*").filter((F.col("b") > F.col("a")) & (F.col("b") < k))
+    n = F.col("n")
+    spread = F.sqrt((F.col("xx") - F.col("x") * F.col("x") / n) * (F.col("yy") - F.col("y") * F.col("y") / n))
+    corr = F.try_divide(F.col("xy") - F.col("x") * F.col("y") / n, spread)
+    return pairs.filter(n > 0).select(F.get(names, F.col("a")).alias("a"), F.get(names, F.col("b")).alias("b"), corr.alias("corr"))
 
 
 def histogram_by_class(

@@ -37,11 +37,11 @@ def _frame(spark):
         "a": a, "b": b, "c": np.array([z for i, z in enumerate(c) if i % 9])}
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_exact_quantiles_by_both_routes(spark, small):
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_exact_quantiles_by_both_routes(spark, most):
     df, arrays = _frame(spark)
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = exact_quantiles(df, ["a", "b", "c", "empty"], probs, small=small)
+    got = exact_quantiles(df, ["a", "b", "c", "empty"], probs, most=most)
     for name, values in arrays.items():
         np.testing.assert_allclose(got[name], np.quantile(values, probs), rtol=1e-12)
     assert got["empty"] == [None] * len(probs)
@@ -50,7 +50,7 @@ def test_exact_quantiles_by_both_routes(spark, small):
 def test_a_wrong_range_is_searched_again(spark, monkeypatch):
     df, arrays = _frame(spark)
     monkeypatch.setattr(ordered, "_spans", lambda df, counts, wanted: {c: [(5.0, 6.0)] for c in wanted})
-    got = exact_quantiles(df, ["a", "c"], [0.5], small=0)
+    got = exact_quantiles(df, ["a", "c"], [0.5], most=0)
     assert got["a"][0] == pytest.approx(np.median(arrays["a"]), rel=1e-12)
     assert got["c"][0] == pytest.approx(np.median(arrays["c"]), rel=1e-12)
 
