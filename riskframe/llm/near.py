@@ -18,7 +18,7 @@ from riskframe.session import materialize
 SHINGLE = 5
 SIMILARITY = 0.8
 SIMHASH_RADIUS = 2
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 COUNTER_BITS = 22  # counters of the frequency sketch, as a power of two: 16 MB in all, whatever the table's size
 BLOCK = 1 << 16
 HELD = 1 << 20
@@ -198,16 +198,15 @@ def drop_near_copies(
     heads = sets.groupBy("fp").agg(F.min("node").alias("id"))
     same = sets.join(heads, "fp").filter("id < node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     close = near_links(materialize(heads.select("fp", "id"), "near_fps"), radius=SIMHASH_RADIUS)
-    first = same.union(close.select(F.least("a", "b"), F.greatest("a", "b")))
-    links = materialize(similar_pairs(first, rows, shingle, least), "near_links")
-    groups = None if links.isEmpty() else materialize(components(links), "near_groups")
+    close = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     own = rows.join(sets.select(F.col("node").alias("at")), "at", "left_semi")
     members = own.select(F.col("at").alias("node"), "size", F.posexplode("keys").alias("place", "bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    open_ = materialize(mixed(with_components(members.join(shared, "bucket"), groups)), "near_open")
+    open_ = materialize(members.join(shared, "bucket").withColumn("component", F.col("node")), "near_open")
+    links = groups = None
     for turn in range(LEADER_ROUNDS + 1):
-        if open_.isEmpty():
+        if turn and open_.isEmpty():
             break
         if turn < LEADER_ROUNDS:
             by = open_.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min(F.struct("node", "size", "place")).alias("m"))
@@ -216,9 +215,11 @@ def drop_near_copies(
             pairs = candidates(open_, lead, F.col("l.component") != F.col("r.component"), least)
         else:
             pairs = candidates(open_, open_, F.col("l.component") < F.col("r.component"), least)
+        if turn == 0:
+            pairs = pairs.union(same).union(close).distinct()
         found = materialize(similar_pairs(pairs, rows, shingle, least), "near_links")
         if not found.isEmpty():
-            links = links.union(found)
+            links = found if links is None else links.union(found)
             groups = materialize(components(links), "near_groups")
         if turn == LEADER_ROUNDS:
             break
