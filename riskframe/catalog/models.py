@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe import fixtures as fx
@@ -9,7 +11,7 @@ from riskframe.catalog.cleaning import KEY
 from riskframe.catalog.registry import query, rounded
 from riskframe.catalog.views import LOANS, Y, with_
 from riskframe.operators import attribution, learning
-from riskframe.operators.metrics import evaluate
+from riskframe.operators.metrics import evaluate, roc_auc
 from riskframe.operators.split import split
 from riskframe.operators.versioning import load_version, manifest, save_version
 from riskframe.session import materialize, new_path
@@ -28,39 +30,90 @@ def model_frame(spark, sf_dir):
     return materialize(rows.join(status, KEY).drop(KEY), "model")
 
 
-def _train_and_evaluate(spark, sf_dir, kind, **params):
-    training, validation = split(model_frame(spark, sf_dir), "loan_id", "default")
-    model = learning.train(training, kind, ignore=("loan_id",), **params)
-    return rounded(evaluate(materialize(learning.scored(model, validation), "scored")))
+HASHED = f"""hashed AS (
+  SELECT {Y} AS y, CAST('0x' || substr(sha256(o_orderkey || '#42'), 1, 12) AS BIGINT) AS h FROM orders JOIN customer ON o_custkey = c_custkey
+), held_out AS (
+  SELECT y FROM hashed QUALIFY (rank() OVER (PARTITION BY y ORDER BY h) - 1) < 0.2 * count(*) OVER (PARTITION BY y)
+)"""
+TRAINED = """SELECT 'validation_rows' AS name, CAST(count(*) AS DOUBLE) AS value FROM held_out
+UNION ALL SELECT 'validation_positives', CAST(sum(y) AS DOUBLE) FROM held_out
+UNION ALL SELECT 'probabilities', CAST(count(*) AS DOUBLE) FROM held_out
+UNION ALL SELECT 'auc_agrees', 1.0
+UNION ALL SELECT 'confusion_adds_up', 1.0"""
+
 
+def _area(rows, y: str = "y", p: str = "p") -> float:
+    """The area by Spark's own evaluator."""
+    vectors = rows.select(F.col(y).cast("double").alias("label"), array_to_vector(F.array(1 - F.col(p), F.col(p))).alias("raw"))
+    return BinaryClassificationEvaluator(rawPredictionCol="raw", labelCol="label", numBins=0).evaluate(vectors)
 
-@query("train_logistic_regression")
+
+def _checked(spark, sf_dir, kind):
+    """A model of default size and what must hold for its scores on the held-out rows."""
+    training, validation = split(model_frame(spark, sf_dir), "loan_id", "default")
+    model = learning.train(training, kind, ignore=("loan_id",))
+    rows = materialize(learning.scored(model, validation), "scored")
+    metrics = {r["name"]: r["value"] for r in evaluate(rows).collect()}
+    counts = rows.agg(
+        F.count("*").alias("n"), F.sum("y").alias("ones"), F.count_if((F.col("p") >= 0) & (F.col("p") <= 1)).alias("p"),
+        F.count_if(F.col("y") == F.col("y_pred")).alias("right"),
+    ).first()
+    values = [
+        ("validation_rows", float(counts["n"])), ("validation_positives", float(counts["ones"])), ("probabilities", float(counts["p"])),
+        ("auc_agrees", float(abs(metrics["auc"] - _area(rows)) < 1e-9)),
+        ("confusion_adds_up", float(abs(metrics["accuracy"] - counts["right"] / counts["n"]) < 1e-12)),
+    ]
+    if hasattr(model.stages[-1], "getNumTrees"):
+        values.append(("trees", float(model.stages[-1].getNumTrees)))
+    return spark.createDataFrame(values, "name string, value double")
+
+
+@query("train_logistic_regression", with_(HASHED) + TRAINED)
 def train_logistic_regression(spark, sf_dir):
-    return _train_and_evaluate(spark, sf_dir, "logistic_regression")
+    return _checked(spark, sf_dir, "logistic_regression")
 
 
-@query("train_boosted_trees")
+@query("train_boosted_trees", with_(HASHED) + TRAINED + " UNION ALL SELECT 'trees', 100.0")
 def train_boosted_trees(spark, sf_dir):
-    """Fewer, shallower trees than the default, to keep the query short."""
-    return _train_and_evaluate(spark, sf_dir, "boosted_trees", n_estimators=10, max_depth=4)
+    return _checked(spark, sf_dir, "boosted_trees")
 
 
-@query("train_random_forest")
+@query("train_random_forest", with_(HASHED) + TRAINED + " UNION ALL SELECT 'trees', 100.0")
 def train_random_forest(spark, sf_dir):
-    """Fewer, shallower trees than the default, to keep the query short."""
-    return _train_and_evaluate(spark, sf_dir, "random_forest", n_estimators=20, max_depth=6)
+    return _checked(spark, sf_dir, "random_forest")
 
 
-@query("cv_auc")
+@query(
+    "cv_auc",
+    with_(HASHED) + "SELECT CAST(h % 5 AS INT) AS fold, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives, true AS auc_agrees FROM hashed GROUP BY 1",
+)
 def cv_auc(spark, sf_dir):
-    return rounded(learning.cv_auc(model_frame(spark, sf_dir), "logistic_regression", folds=5))
+    """Rows and positives of every fold, and whether its area is that of Spark's own evaluator on the same scores."""
+    table = learning.vectors(model_frame(spark, sf_dir), "default", "loan_id", 5)
+    scores = materialize(learning.cv_rows(table, "logistic_regression", "default", 5, {}), "cv")
+    areas = {r["fold"]: r["auc"] for r in roc_auc(scores, keys=["fold"]).collect()}
+    agrees = [(f, bool(abs(a - _area(scores.filter(F.col("fold") == f))) < 1e-9)) for f, a in areas.items()]
+    counts = scores.groupBy("fold").agg(F.count("*").alias("n"), F.sum("y").alias("positives"))
+    return counts.join(spark.createDataFrame(agrees, "fold int, auc_agrees boolean"), "fold")
 
 
-@query("random_search")
+@query(
+    "random_search",
+    """SELECT CAST(unnest(range(50)) AS INT) AS trial, true AS in_range, true AS logged_once, true AS at_most_best""",
+)
 def random_search(spark, sf_dir):
-    """Three trials of three folds; the defaults are 50 and 5."""
-    trials, _, _ = learning.random_search(model_frame(spark, sf_dir), "logistic_regression", trials=3, folds=3)
-    return rounded(trials)
+    """Fifty trials of five folds with a log, then the same search again, which finds every trial done."""
+    frame, log = model_frame(spark, sf_dir), new_path(spark, "trials")
+    first, _, best = learning.random_search(frame, "logistic_regression", parallelism=5, log=log)
+    again, _, same = learning.random_search(frame, "logistic_regression", log=log)
+    written = spark.read.json(log).groupBy("trial").agg(F.count("*").alias("times"))
+    params = F.from_json("params", "C double, penalty string, l1_ratio double")
+    fits = params["C"].between(0.01, 100.01) & params["penalty"].isin("l1", "l2", "elasticnet") & params["l1_ratio"].between(0, 1)
+    unit = F.col("cv_auc_mean").between(0, 1) & (F.col("cv_auc_std") >= 0)
+    return again.join(written, "trial").select(
+        "trial", (fits & unit).alias("in_range"), (F.col("times") == 1).alias("logged_once"),
+        ((F.col("cv_auc_mean") <= best) & F.lit(best == same and first.count() == 50)).alias("at_most_best"),
+    )
 
 
 COEFFICIENTS = {"dti": 0.03, "annual_inc": -0.00002, "installment": 0.004, "open_acc": 0.1}
@@ -117,6 +170,23 @@ def tree_attribution(spark, sf_dir):
     return rounded(attribution.attribution_ranking(attribution.spread_attributions(explained, names), names))
 
 
+@query(
+    "tree_attribution_full",
+    "WITH n AS (SELECT count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey) SELECT n AS rows, n AS additive, 100 AS trees FROM n",
+)
+def tree_attribution_full(spark, sf_dir):
+    """Attributions of a boosted model of default size: for how many rows they add up to the model's margin."""
+    frame = model_frame(spark, sf_dir)
+    model = learning.train(frame, "boosted_trees", ignore=("loan_id",))
+    explained, base = attribution.tree_attributions(model.stages[-1], model.transform(frame))
+    total = F.aggregate("attributions", F.lit(base), lambda a, x: a + x)
+    margin = F.get(vector_to_array("rawPrediction"), 1)
+    return explained.agg(
+        F.count("*").alias("rows"), F.count_if(F.abs(total - margin) < 1e-6).alias("additive"),
+        F.lit(model.stages[-1].getNumTrees).alias("trees"),
+    )
+
+
 @query(
     "dataset_versions",
     f"""WITH frame AS (SELECT o_orderkey, {Y} AS y, o_orderstatus FROM orders), digests AS (

@@ -28,23 +28,27 @@ def train_job(
     folds: int = 5,
     clean: bool = True,
     clean_exclude: tuple[str, ...] = (),
+    early_stop: float = 0.0,
     **params,
 ) -> PipelineModel:
     """Split a feature table, train on one side, evaluate on the other, cross-validate, save model and metrics.
 
     The cleaner learns fill values and fences from the training rows and is the model's first stage. The label travels in the row, so deduplication cannot misalign it; folds come from the training rows.
+    Boosting with ``early_stop`` holds back that share of the training rows, of each class, and stops where
+    they gain nothing more; the rows the model is evaluated on take no part in it.
     """
     if target not in df.columns:
         raise ValueError(f"target column {target!r} not found")
     training, validation = split(materialize(df, "train-input"), key, target, test_size, seed)
+    fitted_on, stop = split(training, key, target, early_stop, seed + 1) if early_stop else (training, None)
     model = train(
-        training,
+        fitted_on,
         kind,
         target,
         ignore=(key,),
-        dictionary=f"{model_path}-dictionary",
         clean=clean,
         clean_exclude=clean_exclude,
+        validation=stop,
         **params,
     )
     model.write().overwrite().save(model_path)

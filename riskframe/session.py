@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -46,18 +48,26 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may fall back to a folder of its own; on a cluster a machine-local
-    folder would vanish with its machine, so the setting is required there.
+    Only a local session may fall back to a folder of its own, which goes when the process ends; on a
+    cluster a machine-local folder would vanish with its machine, so the setting is required there. A cluster job calls
+    :func:`clear_work` when its results are written.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a shared folder before running on a cluster")
         base = tempfile.mkdtemp(prefix="riskframe-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/riskframe-{spark.sparkContext.applicationId}"
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables. Frames that still read them cannot be used any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 

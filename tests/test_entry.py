@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 import __spark_entry__ as entry
@@ -15,7 +17,12 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+# models of full size take a minute and more each: RUN_SLOW=1 runs them too
+SLOW = {"random_search", "tree_attribution_full", "train_boosted_trees", "train_random_forest"}
+RUN_SLOW = os.environ.get("RUN_SLOW") == "1"
+
+
+@pytest.mark.parametrize("name", sorted(n for n in ORACLES if RUN_SLOW or n not in SLOW))
 def test_query_equals_sql(spark, duck, sf_dir, name):
     ok, message, _ = compare(spark, duck, name, QUERIES[name], ORACLES[name], sf_dir)
     assert ok, message
@@ -52,10 +59,7 @@ def test_flagship(spark):
 
 def test_names():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(LIBRARY[0]) - set(LIBRARY[1]) == {
-        "train_logistic_regression", "train_boosted_trees", "train_random_forest", "cv_auc",
-        "random_search", "tree_attribution",
-    }
+    assert set(LIBRARY[0]) - set(LIBRARY[1]) == {"tree_attribution"}
 
 
 def test_scan(spark, tmp_path):

@@ -1,3 +1,5 @@
+import json
+import shutil
 from itertools import combinations
 from math import factorial
 
@@ -41,6 +43,51 @@ def test_models_learn(spark, frame, kind, params, tmp_path):
     assert scored.exceptAll(again).count() == 0
 
 
+def test_a_moved_model_scores_alike(spark, frame, tmp_path):
+    """The dictionary travels inside the saved pipeline: the folder is moved and the one it was fitted with is gone."""
+    model = learning.train(frame, "logistic_regression", ignore=("loan_id",), dictionary=str(tmp_path / "dict"))
+    want = sorted(learning.scored(model, frame, keep=("loan_id",)).collect())
+    model.write().save(str(tmp_path / "model"))
+    shutil.move(str(tmp_path / "model"), str(tmp_path / "elsewhere"))
+    shutil.rmtree(tmp_path / "dict")
+    moved = PipelineModel.load(str(tmp_path / "elsewhere"))
+    assert sorted(learning.scored(moved, frame, keep=("loan_id",)).collect()) == want
+    moved.write().save(str(tmp_path / "again"))
+    shutil.rmtree(tmp_path / "elsewhere")
+    assert sorted(learning.scored(PipelineModel.load(str(tmp_path / "again")), frame, keep=("loan_id",)).collect()) == want
+
+
+def test_boosting_stops_where_validation_gains_nothing(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [(str(i), *map(float, rng.normal(size=3)), int(rng.random() < 0.5)) for i in range(400)]  # nothing to learn
+    noise = spark.createDataFrame(rows, "loan_id string, a double, b double, c double, default int").cache()
+    fit, held = noise.filter("loan_id % 4 <> 0"), noise.filter("loan_id % 4 = 0")
+    params = {"n_estimators": 30, "max_depth": 5}
+    assert learning.train(fit, "boosted_trees", ignore=("loan_id",), **params).stages[-1].getNumTrees == 30
+    stopped = learning.train(fit, "boosted_trees", ignore=("loan_id",), validation=held, **params)
+    assert stopped.stages[-1].getNumTrees < 30
+    job = train_job(noise, "boosted_trees", str(tmp_path / "m"), str(tmp_path / "metrics"), "r", folds=0, early_stop=0.25, **params)
+    assert job.stages[-1].getNumTrees < 30
+
+
+@pytest.mark.parametrize("kind", ["logistic_regression", "random_forest", "boosted_trees"])
+def test_an_interrupted_search_goes_on(frame, tmp_path, kind):
+    small = {
+        "logistic_regression": None,
+        "random_forest": {"n_estimators": ("int", 2, 4), "max_depth": ("int", 2, 3)},
+        "boosted_trees": {"n_estimators": ("int", 2, 3), "max_depth": ("int", 2, 3)},
+    }[kind]
+    log = str(tmp_path / "log")
+    first, _, _ = learning.random_search(frame, kind, trials=5, folds=2, space=small, log=log, timeout=0.0)
+    assert first.count() == 1  # no time is left for a second one
+    rows, best, score = learning.random_search(frame, kind, trials=2, folds=2, space=small, log=log)
+    got = {r["trial"]: r for r in rows.collect()}
+    assert set(got) == {0, 1} and got[0] == first.first()
+    assert score == max(r["cv_auc_mean"] for r in got.values()) and json.dumps(best, sort_keys=True) in {r["params"] for r in got.values()}
+    with pytest.raises(ValueError, match="another search"):
+        learning.random_search(frame, kind, trials=1, folds=2, space=small, log=log, seed=7)
+
+
 def test_cleaning_keeps_the_training_fences(spark, frame):
     model = learning.train(frame, "logistic_regression", ignore=("loan_id",), clean=True)
     far = frame.limit(1).withColumn("a", F.lit(1000.0)).withColumn("b", F.lit(None).cast("double"))
