@@ -35,13 +35,17 @@ def fit_dictionaries(
 ) -> dict[str, bytes]:
     """The languages, those with more labelled rows first, and raw content per language: ``sample_texts`` labelled texts chosen by a hash of the id, outside the held-out fold.
 
-    The sample is bounded by its parameters: at most ``sample_chars`` characters of a sampled text and
-    ``size`` bytes a language. More than ``MAX_LANGUAGES`` languages are an error.
+    The sample is bounded by its parameters: of a sampled text one block of at most ``sample_chars`` characters, at a
+    place that a hash of the id chooses anywhere in the text, and ``size`` bytes a language. More than
+    ``MAX_LANGUAGES`` languages are an error.
     """
     labelled = docs.filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold("doc_id", FOLDS) != HELD_OUT)
     )
-    rows = labelled.select("lang", "doc_id", F.substring("text", 1, sample_chars).alias("text"), F.xxhash64("doc_id", F.lit(3)).alias("h"))
+    places = F.greatest(F.length("text") - sample_chars + 1, F.lit(1))
+    start = F.pmod(F.xxhash64("doc_id", F.lit(5)), places).cast("int") + 1
+    block = F.substring(F.col("text"), start, F.lit(sample_chars))
+    rows = labelled.select("lang", "doc_id", block.alias("text"), F.xxhash64("doc_id", F.lit(3)).alias("h"))
     order = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
     picked = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_texts)
     languages = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
