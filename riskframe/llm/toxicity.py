@@ -35,9 +35,21 @@ def clean(word: str) -> str:
     return word.lower().strip(EDGES)
 
 
+def words_of(text: str) -> list[str]:
+    """What stands between white space; longer than ``LETTERS`` characters, as in scripts without spaces, it is cut into
+    pieces, words of their own, that overlap by half, so that words of up to ``LETTERS // 2`` characters in it lie in one."""
+    out = []
+    for token in text.split():
+        if len(token) <= LETTERS:
+            out.append(token)
+        else:
+            out += [token[i : i + LETTERS] for i in range(0, len(token) - LETTERS // 2, LETTERS // 2)]
+    return out
+
+
 def grams(word: str) -> list[str]:
-    """Character 5-grams of ``<word>`` and the 4-grams at its ends, from its first ``LETTERS`` characters."""
-    marked = f"<{word[:LETTERS]}>"
+    """Character 5-grams of ``<word>`` and the 4-grams at its ends."""
+    marked = f"<{word}>"
     return [marked[:4], marked[-4:], *[marked[i : i + 5] for i in range(len(marked) - 4)]]
 
 
@@ -265,6 +277,15 @@ class Scorer:
         self.known: dict[str, int] = {}
         self.tables = tuple(np.zeros((0, 3 * HIDDEN), np.float32) for _ in "fb")
 
+    def number(self, word: str) -> int:
+        """A word's vocabulary number; for a piece of a long one that of the word inside it that speaks most for the label."""
+        get = self.model.vocabulary.get
+        own = get(word, 0)
+        if own or len(word) <= LETTERS // 2:
+            return own
+        inside = {get(word[i:j], 0) for i in range(len(word) - 3) for j in range(i + 4, len(word) + 1)} - {0}
+        return max(inside, key=lambda n: self.model.network.p["word"][n, 0], default=0)
+
     def codes(self, words: list[str]) -> np.ndarray:
         if len(self.known) > KNOWN_WORDS:
             self.reset()
@@ -273,7 +294,7 @@ class Scorer:
         if new:
             plain = [clean(w) for w in new]
             own = {w: i for i, w in enumerate(dict.fromkeys(plain))}
-            vocabulary = np.array([self.model.vocabulary.get(w, 0) for w in own])
+            vocabulary = np.array([self.number(w) for w in own])
             chars = gram_codes(list(own), self.model.grams)
             net = self.model.network
             parts = [net.inputs(Words(vocabulary[i : i + 20_000], chars[i : i + 20_000])) for i in range(0, len(own), 20_000)]
@@ -306,7 +327,7 @@ def fit_network(texts: list[str], labels: np.ndarray, threshold: float = CUT) ->
     """
     if len(np.unique(labels)) < 2:
         return None
-    split = [[clean(w) for w in t.split()] for t in texts]
+    split = [[clean(w) for w in words_of(t)] for t in texts]
     turn = np.empty(len(labels), np.int64)
     for c in (0, 1):
         turn[labels == c] = np.arange((labels == c).sum())
@@ -393,7 +414,7 @@ def score_toxicity(docs: DataFrame, model: Model | None, threshold: float = CUT)
             scores = np.zeros(batch.num_rows)
             at, texts, size = 0, [], 0
             for i, value in enumerate(batch.column(1) if scorer else []):
-                texts.append(value.as_py().split())
+                texts.append(words_of(value.as_py()))
                 size += len(texts[-1])
                 if size >= 400_000 or i == batch.num_rows - 1:
                     scores[at : i + 1] = model.score(scorer.logits(texts))

@@ -239,6 +239,28 @@ def test_a_late_window_counts():
     assert scores[1] >= 0.3 > scores[0] and 0 <= scores[2] <= 1
 
 
+def test_long_tokens_lose_no_character():
+    rng = random.Random(9)
+    for n in (1, 23, 24, 25, 44, 45, 2_000):
+        token = "".join(rng.choice("abcdefgh") for _ in range(n))
+        pieces = toxicity.words_of(token)
+        assert all(len(p) <= toxicity.LETTERS for p in pieces)
+        assert {token[i : i + 5] for i in range(n - 4)} == {p[i : i + 5] for p in pieces for i in range(len(p) - 4)}
+    assert toxicity.words_of("one two") == ["one", "two"]
+
+
+def test_a_late_word_without_spaces_counts():
+    rng = random.Random(10)
+    texts = [sentence(rng, 60) for _ in range(160)]
+    labels = np.array([i % 3 == 0 for i in range(160)], int)
+    texts = [t + " vile disgusting scumbag" if y else t for t, y in zip(texts, labels)]
+    model = toxicity.fit_network(texts, labels)
+    glued = sentence(rng, 400).replace(" ", "")[:1_800]
+    both = [glued + "disgustingscumbag" + glued[:150], glued + glued[:180]]
+    scores = model.score(toxicity.Scorer(model).logits([toxicity.words_of(t) for t in both]))
+    assert scores[0] >= 0.3 > scores[1]
+
+
 @pytest.mark.parametrize("op", ["quality", "toxicity"])
 def test_classifier_edges(spark, docs, op):
     module, fit, score = {
@@ -438,6 +460,27 @@ def test_topk_equals_brute_force(spark, shape):
     assert sorted(tuple(r) for r in got) == want
 
 
+@pytest.mark.parametrize("size", [400_000, 10**6, 3_000_000])
+def test_topk_adds_large_components_exactly(spark, size):
+    rng = random.Random(size)
+    rows = [(i, [float(rng.randrange(-size, size)) + rng.randrange(256) / 256 for _ in range(5)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.exact_topk(df, df.filter("vec_id % 20 = 0"), 3).collect()
+    whole = {i: [int(256 * x // 1) for x in v] for i, v in rows}
+    want = []
+    for q in (0, 20, 40):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q)[:3]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+@pytest.mark.parametrize("size", [3e15, 1e300])
+def test_topk_refuses_what_no_long_holds(spark, size):
+    df = spark.createDataFrame([(0, [size, 1.0]), (1, [size, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="components too large"):
+        topk.exact_topk(df, df, 1).collect()
+
+
 def test_topk_of_few_rows(spark):
     df = spark.createDataFrame([(0, [0.5]), (1, [0.25, 1.0]), (2, [])], "vec_id long, embedding array<float>")
     got = topk.exact_topk(df, df.filter("vec_id = 0"), 5).collect()
