@@ -12,6 +12,8 @@ from riskframe.operators import clean, features
 from riskframe.operators.split import mark_test, with_fold
 from riskframe.plans.datasets import build_features, reference_encoded, reference_features
 from riskframe.schemas import BRACKETS, DEFAULT_STATUSES, RISK_LIMITS
+from riskframe.session import new_path
+from riskframe.sources.sinks import write_processed
 
 EPS = "1e-8"
 BIG_RATIOS = ("loan_income_ratio", "installment_income_ratio", "debt_income_ratio")
@@ -289,3 +291,29 @@ def build_dataset(spark, sf_dir):
         ),
         digits=2,
     )
+
+
+@query(
+    "written_sets",
+    FEATURE_CHAIN
+    + f""", marked AS (
+  SELECT *, (rank() OVER (PARTITION BY "default" ORDER BY {HASH}) - 1) < 0.2 * count(*) OVER (PARTITION BY "default") AS is_test FROM featured
+), sides AS (SELECT 'full' AS part, * FROM marked UNION ALL SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END, * FROM marked)
+SELECT part, "default", count(*) AS n, round(sum(loan_amnt), 2) AS loan_amnt, CAST(sum(combined_risk_score) AS BIGINT) AS risk,
+  true AS names_fit FROM sides GROUP BY ALL""",
+)
+def written_sets(spark, sf_dir):
+    """Train, test and full set as the sink writes them, read back, and whether the name list is that of their columns."""
+    frame = build_features(fx.loans(spark, sf_dir), exclude=(KEY,))
+    paths = write_processed(mark_test(frame, "loan_id", "default", name="_test"), new_path(spark, "sets"))
+    parts = {name: spark.read.parquet(paths[name]) for name in ("train", "test", "full")}
+    names = [r["name"] for r in spark.read.json(paths["feature_names"]).orderBy("position").collect()]
+    fits = all([c for c in part.columns if c != "default"] == names for part in parts.values())
+    rows = None
+    for name, part in parts.items():
+        own = part.select(F.lit(name).alias("part"), "default", "loan_amnt", "combined_risk_score")
+        rows = own if rows is None else rows.unionByName(own)
+    totals = rows.groupBy("part", "default").agg(
+        F.count("*").alias("n"), F.sum("loan_amnt").alias("loan_amnt"), F.sum("combined_risk_score").alias("risk")
+    )
+    return rounded(totals.withColumn("names_fit", F.lit(fits)), digits=2)

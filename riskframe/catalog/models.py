@@ -13,7 +13,7 @@ from riskframe.catalog.views import LOANS, Y, with_
 from riskframe.operators import attribution, learning
 from riskframe.operators.metrics import evaluate, roc_auc
 from riskframe.operators.split import split
-from riskframe.operators.versioning import load_version, manifest, save_version
+from riskframe.operators.versioning import load_version, manifest, register_reference, save_version
 from riskframe.session import materialize, new_path
 
 MODEL_COLUMNS = [
@@ -207,3 +207,22 @@ def dataset_versions(spark, sf_dir):
     return manifest(spark, root).select(
         "name", "version", "digest", "rows", "columns", positives.alias("loaded_positives")
     )
+
+
+@query(
+    "registered_reference",
+    f"""SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(y) AS BIGINT) AS positives, true AS found_again, 'reference_orders' AS name, 'reference dataset' AS description
+FROM (SELECT o_orderkey, {Y} AS y FROM orders)""",
+)
+def registered_reference(spark, sf_dir):
+    """A reference set registered under its own name, loaded by name and version, and registered again without a second copy."""
+    orders = fx.table(spark, sf_dir, "orders")
+    frame = orders.select(KEY, fx.target_flag(F.col(KEY)).alias("y"))
+    root = new_path(spark, "references")
+    version = register_reference(frame, root, "orders")
+    again = register_reference(frame.repartition(3), root, "orders")
+    loaded = load_version(spark, root, "reference_orders", version)
+    entry = manifest(spark, root).select("name", "description")
+    return loaded.agg(F.count("*").alias("rows"), F.sum("y").alias("positives")).select(
+        "*", F.lit(version == again).alias("found_again"), *[entry.select(c).scalar().alias(c) for c in entry.columns]
+    )

@@ -9,6 +9,8 @@ from riskframe.catalog.evaluation import CONFUSION, auc_sql, rates_sql
 from riskframe.catalog.registry import query, rounded
 from riskframe.catalog.views import DRIFT, SCORED, with_
 from riskframe.operators import drift, gates
+from riskframe.plans.monitoring import monitor
+from riskframe.session import new_path
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount"]
 CATEGORIES = ["l_returnflag", "l_linestatus"]
@@ -94,6 +96,22 @@ def dataset_drift(spark, sf_dir):
     return rounded(drift.dataset_drift(*fx.drift_frames(spark, sf_dir)))
 
 
+@query(
+    "drift_report",
+    with_(DRIFT, ALL_TESTS)
+    + """SELECT 'report' AS part, "column" AS name, round(p_value, 6) AS value FROM tests
+UNION ALL SELECT 'metrics', 'drifted_columns', CAST(count(*) FILTER (drifted) AS DOUBLE) FROM tests
+UNION ALL SELECT 'metrics', 'drift_share', round(count(*) FILTER (drifted) / CAST(count(*) AS DOUBLE), 6) FROM tests""",
+)
+def drift_report(spark, sf_dir):
+    """What the monitoring job leaves behind: its report as JSON lines and the rows of the metrics table."""
+    report, metrics = new_path(spark, "report"), new_path(spark, "metrics")
+    monitor(*fx.drift_frames(spark, sf_dir), metrics, report, "run-1")
+    rows = spark.read.json(report).select(F.lit("report").alias("part"), F.col("column").alias("name"), F.col("p_value").alias("value"))
+    logged = spark.read.parquet(metrics).filter("run_id = 'run-1' AND scope = 'drift'")
+    return rounded(rows.unionByName(logged.select(F.lit("metrics").alias("part"), "name", "value")))
+
+
 HALVES = """
 early AS (SELECT * FROM scored WHERE ts < TIMESTAMP '1998-01-01 00:00:00'),
 late AS (SELECT *, p * p AS q FROM scored WHERE ts >= TIMESTAMP '1998-01-01 00:00:00')"""

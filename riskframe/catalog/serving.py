@@ -10,7 +10,8 @@ from riskframe.catalog.views import LOANS, LOOKUP, REQUEST_ROWS, with_
 from riskframe.operators import joins, scoring
 from riskframe.operators.clean import validate_requests
 from riskframe.operators.features import online_encode
-from riskframe.sources.sinks import feature_snapshot, prediction_records
+from riskframe.session import new_path
+from riskframe.sources.sinks import feature_snapshot, prediction_records, write_prediction_log
 
 
 def lookup_sql(ttl: int) -> str:
@@ -149,10 +150,13 @@ def batch_score(spark, sf_dir):
   grade, count(*) AS n, round(avg(pd), 6) AS mean_probability FROM predicted GROUP BY ALL""",
 )
 def prediction_log(spark, sf_dir):
-    """Nested log records, aggregated through their structures."""
+    """Nested log records as written, aggregated through their structures."""
     valid, _ = validate_requests(fx.request_rows(spark, sf_dir))
     scored = scoring.score(valid, served("champion"), served("challenger"), 30)
     records = prediction_records(scored.withColumn("features_source", F.lit(joins.PAYLOAD)), ["grade", "term"])
+    path = new_path(spark, "prediction-log")
+    write_prediction_log(records, path)
+    records = spark.read.parquet(path)
     return rounded(
         records.groupBy(
             "model_type", F.col("prediction_details.risk_level"), F.col("input_features.grade")

@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from riskframe.functions.hashing import hash48
 from riskframe.session import new_path
 
-MAX_NODES = 2_000_000
+MAX_NODES = 100_000  # nodes of an ensemble that is collected and broadcast
 
 
 # --- linear models ----------------------------------------------------------------------------
@@ -68,7 +68,7 @@ def _leaf_paths(nodes: pd.DataFrame, positive: bool) -> list[dict]:
     return leaves
 
 
-def tree_leaves(model) -> list[list[dict]]:
+def tree_leaves(model, max_nodes: int = MAX_NODES) -> list[list[dict]]:
     """Weighted leaf paths of every tree of a boosted or random-forest classifier.
 
     The trees are read from the saved form of the model. A model is small next to the data, but its size
@@ -80,8 +80,8 @@ def tree_leaves(model) -> list[list[dict]]:
     path = new_path(spark, "trees")
     model.save(path)
     table = spark.read.parquet(f"{path}/data")
-    if table.count() > MAX_NODES:
-        raise ValueError(f"the ensemble has more than {MAX_NODES} nodes")
+    if table.count() > max_nodes:
+        raise ValueError(f"the ensemble has more than {max_nodes} nodes")
     node = F.col("nodeData")
     stats = node["impurityStats"]
     total = F.aggregate(stats, F.lit(0.0), lambda a, x: a + x)
@@ -126,7 +126,7 @@ def _packed(trees: list[list[dict]]) -> tuple[float, list[tuple]]:
 
 
 def tree_attributions(
-    model, df: DataFrame, features: str = "_features", name: str = "attributions"
+    model, df: DataFrame, features: str = "_features", name: str = "attributions", max_nodes: int = MAX_NODES
 ) -> tuple[DataFrame, float]:
     """Add an array with one attribution per feature; they and the base value sum to the prediction.
 
@@ -134,14 +134,15 @@ def tree_attributions(
     Attributions are path-dependent Shapley values: a leaf contributes
     ``value · Π_j (in_j if j is known else share_j)``, and the Shapley value of such a product is the
     integral over t in [0, 1] of ``(in_i − share_i) · Π_{j≠i} (share_j + (in_j − share_j) t)``, a
-    polynomial that Gauss–Legendre nodes integrate exactly. Runs batch-wise on the executors.
+    polynomial that Gauss–Legendre nodes integrate exactly. Runs batch-wise on the executors. An ensemble of
+    more than ``max_nodes`` nodes (a hundred trees of depth 9, about) is an error.
     """
     from pyspark.ml.functions import vector_to_array
 
     spark = df.sparkSession
-    base, packed = _packed(tree_leaves(model))
+    base, packed = _packed(tree_leaves(model, max_nodes))
     size = model.numFeatures
-    shared = spark.sparkContext.broadcast(packed)  # bounded by MAX_NODES
+    shared = spark.sparkContext.broadcast(packed)  # bounded by max_nodes
 
     def explain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         groups = shared.value

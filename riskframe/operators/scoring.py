@@ -113,9 +113,18 @@ def explode_batches(batches: DataFrame, column: str = "inputs") -> DataFrame:
     return batches.select(*others, F.posexplode(column).alias("position", "_input")).select(*others, "position", "_input.*")
 
 
-def batch_responses(scored: DataFrame, batch: str, position: str = "position") -> DataFrame:
-    """One record per batch request with its predictions in order. A request holds at most 1000 inputs."""
-    details = F.struct(position, "prediction", "probability_default", "probability_repayment", "risk_level")
+MAX_INPUTS = 1_000
+
+
+def batch_responses(scored: DataFrame, batch: str, position: str = "position", max_inputs: int = MAX_INPUTS) -> DataFrame:
+    """One record per batch request with its predictions in order.
+
+    A request may hold ``max_inputs`` inputs at most. An input beyond is an error of its own row, raised before rows of
+    one request are gathered.
+    """
+    too_many = F.raise_error(F.concat(F.lit(f"a batch request holds more than {max_inputs} inputs: position "), F.col(position)))
+    place = F.when(F.col(position) < max_inputs, F.col(position)).otherwise(too_many.cast("int")).alias(position)
+    details = F.struct(place, "prediction", "probability_default", "probability_repayment", "risk_level")
     return scored.groupBy(batch).agg(
         F.sort_array(F.collect_list(details)).alias("predictions"),
         F.count("*").alias("total_inputs"),

@@ -104,6 +104,8 @@ def test_batches(spark):
     out = {r["batch"]: r for r in scoring.batch_responses(scoring.score(rows, model), "batch").collect()}
     assert out["b1"]["total_inputs"] == 2 and [p["position"] for p in out["b1"]["predictions"]] == [0, 1]
     assert out["b2"]["predictions"][0]["prediction"] == 0 and out["b2"]["predictions"][0]["risk_level"] == "low"
+    with pytest.raises(Exception, match="more than 1 inputs"):
+        scoring.batch_responses(scoring.score(rows, model), "batch", max_inputs=1).collect()
 
 
 def test_requests_without_a_key_are_drawn_one_by_one(spark):

@@ -73,7 +73,7 @@ def test_boosting_stops_where_validation_gains_nothing(spark, tmp_path):
 @pytest.mark.parametrize("kind", ["logistic_regression", "random_forest", "boosted_trees"])
 def test_an_interrupted_search_goes_on(frame, tmp_path, kind):
     small = {
-        "logistic_regression": None,
+        "logistic_regression": "adaptive",
         "random_forest": {"n_estimators": ("int", 2, 4), "max_depth": ("int", 2, 3)},
         "boosted_trees": {"n_estimators": ("int", 2, 3), "max_depth": ("int", 2, 3)},
     }[kind]
