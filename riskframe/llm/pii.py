@@ -44,8 +44,12 @@ class Disclosure:
     remove: float = 0.95
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """``array<struct<start, end, value>>`` of all matches, in code points, from the pieces between them."""
+def matches(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """``array<struct<start, end, value>>`` of the matches (those whose span is ``wanted``), in code points, from the
+    pieces between them.
+
+    The fold carries only what it keeps, so the many matches that are not wanted cost linear time.
+    """
     pieces = F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
@@ -54,7 +58,10 @@ def matches(text: Column, pattern: str) -> Column:
         start = state["at"] + F.length(pair["piece"])
         end = start + F.length(pair["value"])
         span = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(state["out"], span).alias("out"))
+        out = F.array_append(state["out"], span)
+        if wanted is not None:
+            out = F.when(F.coalesce(wanted(span), F.lit(False)), out).otherwise(state["out"])
+        return F.struct(end.alias("at"), out.alias("out"))
 
     pairs = F.zip_with(
         F.slice(pieces, F.lit(1), F.size(values)), values, lambda p, v: F.struct(p.alias("piece"), v.alias("value"))
@@ -96,18 +103,26 @@ def base_spans(text: Column) -> Column:
 
     kinds = []
     for kind, pattern in PATTERNS.items():
-        found = F.filter(matches(text, pattern), valid_span(kind))
-        tagged = F.transform(found, tag(kind))
+        tagged = F.transform(matches(text, pattern, valid_span(kind)), tag(kind))
         if kind in NEEDED:
             tagged = F.when(F.contains(text, F.lit(NEEDED[kind])), tagged).otherwise(F.array().cast(TAGGED))
         kinds.append(tagged)
     return F.concat(*kinds)
 
 
+def _text_key() -> Column:
+    """A hash of id and text."""
+    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit(""))))
+
+
+def _entities() -> Column:
+    return F.array_distinct(F.transform("spans", lambda s: F.xxhash64(s["kind"], s["value"]))).alias("entities")
+
+
 def find_entities(docs: DataFrame, rules: Disclosure) -> DataFrame:
     """``doc_id, key, spans`` per row; a span carries the text on its left and right. Written once."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), text))
+    key = _text_key()
     width = rules.context
 
     def with_context(s: Column) -> Column:
@@ -156,8 +171,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, near: DataFrame, rules:
     share = PMI(word; entity) / IC(entity) with PMI = log2(n_both N / (n_entity n_word)), IC = log2(N / n_entity).
     """
     total = found.count()
-    entity = F.explode(F.array_distinct(F.transform("spans", lambda s: F.xxhash64(s["kind"], s["value"]))))
-    n_entity = found.select(entity.alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    n_entity = found.select(F.explode(_entities()).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     pairs = (
         near.select("key", "content", "entity", "term").distinct().groupBy("entity", "term")
         .agg(F.count("*").alias("n_both"), F.count_distinct("content").alias("texts"))
@@ -177,22 +191,33 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, near: DataFrame, rules:
 def sanitisation_spans(docs: DataFrame, rules: Disclosure | None = None) -> DataFrame:
     """``doc_id, key, spans, terms`` per row: entities, and words to generalise or remove.
 
-    ``key`` is a hash of id and text. A null text is empty and has no spans; rows that repeat an id and a text get
+    What a word gives away of an entity is learned where it stands next to the entity; then it is replaced wherever it stands,
+    outside entities, in every text that holds the entity. ``key`` is a hash of id and text. A null text is empty and has no spans; rows that repeat an id and a text get
     the same spans. A text without an entity is never touched. Extra columns are ignored.
     """
     rules = rules or Disclosure()
     docs = docs.select("doc_id", "text")
     found = find_entities(docs, rules)
     near = materialize(neighbours(found, rules), "pii_neighbours")
-    action = F.when(F.max("share") >= rules.remove, F.lit("removed")).otherwise(F.lit("generalised"))
-    # one word may stand next to several entities: its strongest share counts
-    terms = (
-        near.join(disclosing_terms(docs, found, near, rules), ["entity", "term"])
-        .groupBy("key", "start", "end")
-        .agg(action.alias("kind"))
-        .groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("terms"))
-    )
+    pairs = disclosing_terms(docs, found, near, rules)
+    places = F.transform("spans", lambda s: F.struct(s["start"], s["end"])).alias("spans")
+    held = found.filter(F.size("spans") > 0).select("key", places, _entities())
+    held = held.groupBy("key").agg(F.first("spans").alias("spans"), F.first("entities").alias("entities"))  # rows of one key are equal
+    # one word may give away several entities: its strongest share counts
+    words = held.select("key", F.explode("entities").alias("entity")).join(pairs, "entity").groupBy("key", "term").agg(F.max("share").alias("share"))
+    action = F.when(F.col("share") >= rules.remove, F.lit("removed")).otherwise(F.lit("generalised"))
+    words = words.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", action.alias("kind")))).alias("words"))
+    texts = docs.select(_text_key().alias("key"), F.coalesce("text", F.lit("")).alias("text")).join(words, "key").join(held.select("key", "spans"), "key")
+
+    def gives_away(w: Column) -> Column:
+        free = ~F.exists("spans", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"]))
+        return F.map_contains_key("words", F.lower(w["value"])) & free
+
+    def term(w: Column) -> Column:
+        return F.struct(F.element_at("words", F.lower(w["value"])).alias("kind"), w["start"], w["end"])
+
+    spots = F.sort_array(F.transform(matches(F.col("text"), WORD, gives_away), term))
+    terms = texts.select("key", spots.alias("terms")).groupBy("key").agg(F.first("terms").alias("terms"))
     no_terms = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     plain = F.transform("spans", lambda s: F.struct(s["kind"], s["start"], s["end"]))
     return found.join(terms, "key", "left").select(
@@ -204,7 +229,7 @@ def sanitise(docs: DataFrame, rules: Disclosure | None = None) -> DataFrame:
     """``doc_id, text``: entities become ``[KIND]``, generalised words ``[NUMBER]``, ``[NAME]`` or ``[WORD]``, removed ones go."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     spans = sanitisation_spans(docs, rules).select("key", F.concat("spans", "terms").alias("all")).dropDuplicates(["key"])
-    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.col("text")))
+    key = _text_key()
     by_start = F.sort_array(F.transform("all", lambda s: F.struct(s["start"], s["end"], s["kind"])))
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 

@@ -1,5 +1,6 @@
 import collections
 import random
+import re
 import zlib
 
 import duckdb
@@ -388,6 +389,61 @@ def test_disclosing_words(spark):
     assert "[EMAIL]" in clean[103] and "Zebedee" not in clean[103] and "plain" in clean[103] and clean[0] == rows[0][1]
 
 
+def test_disclosing_words_go_wherever_they_stand(spark):
+    """At the head of a long text whose address stands at its end; not in a text without the address."""
+    rows = [(i, f"note number{i} plain words here", "a") for i in range(40)]
+    rows += [(100 + i, f"please call Zebedee at zed@mail.example.com about plain words{i}", "a") for i in range(4)]
+    far = "Zebedee (ZEBEDEE!) wrote " + "plain words " * 60 + "zed@mail.example.com zebedee.x@mail.example.com, Zebedee"
+    rows += [(200, far, "a"), (201, "Zebedee alone", "a"), (200, far, "b")]
+    spans = digest_rows(pii.sanitisation_spans(frame(spark, rows)))
+    removed = [far[int(p.split(":")[1]) : int(p.split(":")[2])] for p in spans[200]["spans"].split(",") if p.startswith(("removed", "generalised"))]
+    assert removed == ["Zebedee", "ZEBEDEE", "Zebedee"] and spans[201]["spans"] == ""
+    clean = [r["text"] for r in pii.sanitise(frame(spark, rows)).filter("doc_id = 200").collect()]
+    assert len(clean) == 2 and all("zebedee" not in t.lower() and "plain words" in t for t in clean)
+
+
+def test_shares_equal_plain_counts(spark, sf_dir):
+    """The share of every pair, from the definition, over a real table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rules = pii.Disclosure(generalise=0.3)
+    found = pii.find_entities(docs, rules)
+    near = pii.neighbours(found, rules)
+    got = {(r["entity"], r["term"]): r["share"] for r in pii.disclosing_terms(docs, found, near, rules).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    words = collections.Counter(w for t in texts.values() for w in set(re.findall(r"[^\W_]{3,}", t.lower())))
+    holders, beside = collections.defaultdict(set), collections.defaultdict(set)
+    names = {(r["kind"], r["value"]): r["h"] for r in found.selectExpr("explode(spans) s").selectExpr("s.kind", "s.value", "xxhash64(s.kind, s.value) h").collect()}
+    for doc, text in texts.items():
+        spans = [p.split(":") for p in brute.personal(text)]
+        spans = [(k, int(a), int(b)) for k, a, b in spans]
+        for kind, a, b in spans:
+            entity = names[kind, text[a:b]]
+            holders[entity].add(doc)
+            for m in re.finditer(r"[^\W_]{3,}", text):
+                whole = (a - 48 < m.start() or m.start() == a - 48 == 0 or a <= 48) and m.end() <= a or m.start() >= b and m.end() < b + 48
+                if whole and not any(x < m.end() and m.start() < y for _, x, y in spans):
+                    beside[entity, m.group().lower()].add(doc)
+    want = {}
+    for (entity, term), docs_of in beside.items():
+        if len({texts[d] for d in docs_of}) >= rules.support:
+            information = np.log2(len(texts) / len(holders[entity]))
+            share = np.log2(len(docs_of) * len(texts) / (len(holders[entity]) * words[term])) / information
+            if share >= rules.generalise:
+                want[entity, term] = share
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_many_numbers_take_linear_time(spark):
+    import time
+
+    text = ", ".join(str(10 + i % 90) for i in range(200_000)) + " call +1 (555) 123-4567 or a@b.example"
+    df = frame(spark, [(1, text, "a"), (2, "plain", "a")])
+    start = time.monotonic()
+    spans = digest_rows(pii.sanitisation_spans(df))
+    assert spans[1]["spans"].count("phone") == 1 and spans[1]["spans"].count("email") == 1
+    assert time.monotonic() - start < 120
+
+
 # 7
 
 
