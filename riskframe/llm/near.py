@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.graph import components
@@ -18,7 +18,8 @@ from riskframe.session import materialize
 SHINGLE = 5
 SIMILARITY = 0.8
 SIMHASH_RADIUS = 2
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 3
+LEADERS = 64
 COUNTER_BITS = 22  # counters of the frequency sketch, as a power of two: 16 MB in all, whatever the table's size
 BLOCK = 1 << 16
 HELD = 1 << 20
@@ -147,13 +148,16 @@ def similar_pairs(pairs: DataFrame, rows: DataFrame, shingle: int, least: float)
 def candidates(left: DataFrame, right: DataFrame, apart: Column, least: float) -> DataFrame:
     """Distinct pairs of one bucket in different components that can reach the similarity.
 
-    With ``place`` the shared shingle's places in the two orders, the sets have at most the shingles from there on in common.
+    With ``place`` the shared shingle's places in the two orders, the sets have at most the shingles from there on in common
+    if no earlier one is shared. Rows with ``before``, the prefix up to there, meet in the first of their common buckets only.
     """
     sizes = F.col("l.size") + F.col("r.size")
     ahead = F.least(F.col("l.size") - F.col("l.place"), F.col("r.size") - F.col("r.place"))
     fits = (F.least("l.size", "r.size") >= (least - 1e-9) * F.greatest("l.size", "r.size")) & (
         ahead >= (least / (1 + least) - 1e-9) * sizes
     )
+    if "before" in left.columns:
+        fits = fits & ~F.arrays_overlap("l.before", "r.before")
     pairs = left.alias("l").join(right.alias("r"), "bucket").filter(apart & fits)
     return pairs.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
@@ -165,6 +169,17 @@ def with_components(nodes: DataFrame, groups: DataFrame | None) -> DataFrame:
     return nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def leaders(members: DataFrame, most: int, turn: int) -> DataFrame:
+    """One member each of ``most`` components of every bucket: of the smallest component, or of ones chosen by hash."""
+    by = members.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min(F.struct(*[c for c in members.columns if c not in ("bucket", "component")])).alias("m"))
+    if most == 1:
+        first = by.groupBy("bucket").agg(F.min(F.struct("n", "component", "m")).alias("x"))
+        return first.select("bucket", F.col("x.component").alias("component"), "x.m.*")
+    order = Window.partitionBy("bucket").orderBy(F.xxhash64("component", F.lit(turn)), "component")
+    few = by.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= most)
+    return few.select("bucket", "component", "m.*")
+
+
 def mixed(members: DataFrame) -> DataFrame:
     """The members of buckets that hold several components."""
     several = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
@@ -182,9 +197,9 @@ def drop_near_copies(
     that share a shingle of their prefixes, so no pair at the similarity is missed. A prefix holds a set's rarest
     shingles, by a sketch of all texts' shingles, so what many texts share is a key of hardly any.
 
-    A bucket is compared from leaders: all members meet one member of the bucket's smallest component, so a
-    dense group of n costs n pairs and its rows stay in tables. After ``LEADER_ROUNDS`` rounds what is still in
-    different components of a bucket is compared pair by pair.
+    A bucket is compared from leaders: all members meet one member of the bucket's smallest component, in later rounds one
+    each of ``LEADERS`` components, so a dense group of n costs some n pairs a round and its rows stay in tables. After
+    ``LEADER_ROUNDS`` rounds what is still in different components of a bucket is compared pair by pair.
 
     Of a group the row with the smallest id stays, of rows that repeat that id the one with the least MD5 of
     its text, of equal rows any one. A null id comes last. Texts without words are one group; an empty table stays empty.
@@ -209,9 +224,7 @@ def drop_near_copies(
         if turn and open_.isEmpty():
             break
         if turn < LEADER_ROUNDS:
-            by = open_.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min(F.struct("node", "size", "place")).alias("m"))
-            lead = by.groupBy("bucket").agg(F.min(F.struct("n", "component", "m")).alias("x"))
-            lead = lead.select("bucket", F.col("x.component").alias("component"), "x.m.*")
+            lead = leaders(open_, 1 if turn == 0 else LEADERS, turn)
             pairs = candidates(open_, lead, F.col("l.component") != F.col("r.component"), least)
         else:
             pairs = candidates(open_, open_, F.col("l.component") < F.col("r.component"), least)
@@ -223,9 +236,14 @@ def drop_near_copies(
             groups = materialize(components(links), "near_groups")
         if turn == LEADER_ROUNDS:
             break
-        # the leader has met every other member; a bucket in one component is done
-        rest = open_.alias("l").join(lead.select("bucket", F.col("node").alias("leader")), "bucket").filter("node <> leader")
-        open_ = materialize(mixed(with_components(rest.drop("leader"), groups)), "near_open")
+        # the leaders have met every other member; a bucket in one component is done
+        rest = open_.join(lead.select("bucket", "node"), ["bucket", "node"], "left_anti")
+        open_ = mixed(with_components(rest, groups))
+        if turn == 0:
+            # from now on a pair meets in its first common bucket; if that is closed, it was met there or is in one component
+            before = F.slice("keys", F.lit(1), F.col("place")).alias("before")
+            open_ = open_.join(rows.select(F.col("at").alias("node"), "keys"), "node").select(*open_.columns, before)
+        open_ = materialize(open_, "near_open")
     component = F.col("node")
     if groups is not None:
         sets = sets.join(groups, "node", "left")
