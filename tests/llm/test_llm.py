@@ -543,6 +543,32 @@ def test_topk_of_few_rows(spark):
     assert sorted(tuple(r) for r in got) == [(0, 1, 1, 128 * 64), (0, 2, 2, 0)]
 
 
+def test_topk_counts_rows_not_ids(spark):
+    """Rows that repeat an id or a whole row, a null id: every row but the query's own is a candidate, of any size."""
+    rng = random.Random(5)
+    rows = [(rng.choice([None, *range(-50, 60)]), [float(rng.randrange(-3, 4)) for _ in range(3)]) for _ in range(300)]
+    rows += rows[:40] + [(0, [1.0, 2.0, 3.0]), (0, [3.0, 2.0, 1.0]), (0, [1.0, 2.0, 3.0]), (70, []), (71, [0.0, 0.0, 0.0, 1e300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.exact_topk(df, df.filter("vec_id % 50 = 0"), 5, shard_rows=60, query_rows=4).collect()
+    want = []
+    for n, (a, v) in enumerate(rows):
+        if a is not None and a % 50 == 0:
+            others = [(-sum(int(256 * x) * int(256 * y) for x, y in zip(v, w)), b is None, b or 0) for m, (b, w) in enumerate(rows) if m != n]
+            want += [(a, r, None if null else b, -s) for r, (s, null, b) in enumerate(sorted(others)[:5], 1)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_topk_adds_what_a_long_holds_beside_larger_numbers(spark):
+    """Scores up to the largest long are exact; what is too low for one is left behind, an error only in the result."""
+    big = 2.0**54
+    rows = [(0, [big / 256, 2.0, 0.0]), (1, [0.0, 1.0, 5.0]), (2, [-big, 1.0, 5.0]), (3, [2.0**9 / 256 - 2, 3.0, 1.0]), (4, [1.0, 0.5, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.exact_topk(df, df.filter("vec_id = 0"), 3).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 1, 4, 2**62 + 512 * 128), (0, 2, 3, 512 * 768), (0, 3, 1, 512 * 256)]
+    with pytest.raises(Exception, match="components too large"):
+        topk.exact_topk(df, df.filter("vec_id = 0"), 4).collect()
+
+
 # tables without rows, repeated rows, null ids
 
 
