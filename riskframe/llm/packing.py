@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import math
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -26,11 +28,36 @@ PIECES_PER_PART = 250_000
 MAX_ROUNDS = 3
 
 
+# settings under which a word's parts are encoded one by one, and the same parts of words of ASCII and Latin-1 letters
+WORD_CUTS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+LETTERS = "a-zß-öø-ÿ"
+PLAIN_WORD = re.compile(f"[!-~À-ÖØ-Þ{LETTERS}]*")  # no marks to compose, one lower-case letter each
+PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
+
+
 class WordTokenizer:
     """Token ids of whole texts for a tokenizer that drops white space and never merges across it.
 
     Such a tokenizer gives the ids of a text as those of its words in turn, so every distinct word is
-    encoded once. The store of known words is emptied when it holds ``CACHED_WORDS``.
+    encoded once. If it is known to cut words (``WORD_CUTS``) and to encode each part by itself, words of ASCII and Latin-1 letters are
+    put together from their parts, of which there are far fewer. Stores are emptied when they hold ``CACHED_WORDS``.
     """
 
     open_tokenizers: dict[str, WordTokenizer] = {}  # of this worker process, over all its tasks
@@ -40,7 +67,19 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        with open(path, encoding="utf-8") as f:
+            settings = json.load(f)
+        self.in_parts = all(settings[k] == v for k, v in WORD_CUTS.items())
+        self.added = {t["content"].lower() for t in settings["added_tokens"]}
+        self.parts: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+
+    def parts_of(self, word: str) -> list[str]:
+        if self.in_parts and PLAIN_WORD.fullmatch(word):
+            lower = word.lower()
+            if not any(t in lower for t in self.added):
+                return PARTS.findall(lower)
+        return [word]
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -51,17 +90,23 @@ class WordTokenizer:
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]  # other white space stays inside words
-        distinct = set().union(*split)
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        known = self.known
-        new = list(distinct.difference(known))
+        known, parts = self.known, self.parts
+        for store in (known, parts):
+            if len(store) > CACHED_WORDS:
+                store.clear()
+        codes = [list(map(known.get, words)) for words in split]  # the look-up is what takes time, so once a word
+        open_texts = [(words, own) for words, own in zip(split, codes) if None in own]
+        cut = {w: self.parts_of(w) for w in {w for words, own in open_texts for w, c in zip(words, own) if c is None}}
+        new = list({p for own in cut.values() for p in own if p not in parts})
         for at in range(0, len(new), ENCODE_WORDS):
-            part = new[at : at + ENCODE_WORDS]
-            for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = struct.pack(f"<{len(code)}I", *code.ids)
-        for words in split:
-            yield b"".join(map(known.__getitem__, words))
+            some = new[at : at + ENCODE_WORDS]
+            for part, code in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                parts[part] = struct.pack(f"<{len(code)}I", *code.ids)
+        for w, own in cut.items():
+            known[w] = b"".join(map(parts.__getitem__, own))
+        for words, own in open_texts:
+            own[:] = [known[w] if c is None else c for w, c in zip(words, own)]
+        yield from map(b"".join, codes)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:

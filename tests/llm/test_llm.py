@@ -483,6 +483,20 @@ def test_words_are_enough_for_the_tokenizer(tokenizer, monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_words_of_known_parts_are_not_encoded_again(tokenizer):
+    """Words are put together from parts; ids stay those of the whole text."""
+    rng = random.Random(8)
+    signs = ["'s", "'T", "'re", "''", "'", "7", "42", "&&&", ".", "<|endoftext|>", "<|EndOfText|>", "ß", "É", "ÀÑ", "×", "µ", "e\u0301", "İ", "ſ", "\x1c", "\r", "²", "abc", "Don", "ЖЖ"]
+    texts = [" ".join("".join(rng.choices(signs, k=rng.randrange(1, 6))) for _ in range(40)) for _ in range(200)]
+    words = packing.WordTokenizer(packing.tokenizer_path())
+    for t, ids in zip(texts, words.ids(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    list(words.ids(["Über die Brücke, abc's 1 2 3"]))
+    seen = len(words.parts)
+    list(words.ids(["über Die, brücke! abc 321'S ABC,über"]))
+    assert words.in_parts and len(words.parts) == seen + 1  # the exclamation mark
+
+
 def test_bounds_and_best_fit():
     rng = np.random.default_rng(0)
     for high in (10, 40, 100):
