@@ -127,7 +127,13 @@ def signed_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int, least
 
 
 def similar_pairs(pairs: DataFrame, rows: DataFrame, shingle: int, least: float) -> DataFrame:
-    """Those of the pairs ``a, b`` of row numbers whose texts reach the similarity."""
+    """Those of the pairs ``a, b`` of row numbers whose texts reach the similarity.
+
+    Only rows of some pair send their texts; below Spark's size threshold their numbers, not the texts, go to all tasks.
+    """
+    pairs = materialize(pairs, "near_pairs")
+    met = materialize(pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct(), "near_met")
+    rows = rows.join(met, "at", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, of_last = None, np.zeros(0, np.uint64)
@@ -217,8 +223,8 @@ def drop_near_copies(
 
     own = rows.join(sets.select(F.col("node").alias("at")), "at", "left_semi")
     members = own.select(F.col("at").alias("node"), "size", F.posexplode("keys").alias("place", "bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    open_ = materialize(members.join(shared, "bucket").withColumn("component", F.col("node")), "near_open")
+    shared = members.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).filter("n > 1").drop("n")
+    open_ = materialize(shared.withColumn("component", F.col("node")), "near_open")
     links = groups = None
     for turn in range(LEADER_ROUNDS + 1):
         if turn and open_.isEmpty():

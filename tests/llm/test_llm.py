@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from riskframe.llm import exact_dedup, language, mixing, packing, pii, quality, simhash, suffix, topk, toxicity
+from riskframe.llm import exact_dedup, language, mixing, near, packing, pii, quality, simhash, suffix, topk, toxicity
 from riskframe.llm import queries as llm
 from tests.llm import brute
 
@@ -627,6 +627,19 @@ def test_near_dedup_stage_equals_brute_force(spark, sf_dir, docs):
         assert len(got) < df.select("text").distinct().count()
 
 
+def test_similar_pairs_shuffle_only_texts_of_pairs(spark, tmp_path):
+    """Texts that are in no pair are not dealt to tasks."""
+    rng = random.Random(3)
+    texts = [sentence(rng, 60) for _ in range(40)]
+    spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts + texts[:2])], "at long, text binary").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    pairs = spark.createDataFrame([(0, 40), (1, 41), (0, 1)], "a long, b long")
+    found = near.similar_pairs(pairs, rows, 5, 0.8)
+    assert sorted(map(tuple, found.collect())) == [(0, 40), (1, 41)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LeftSemi") >= 2
+
+
 def test_pipeline_stages(spark, sf_dir, tokenizer):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [tuple(r) for r in docs.collect()]
