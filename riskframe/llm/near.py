@@ -21,6 +21,8 @@ SIMHASH_RADIUS = 2
 LEADER_ROUNDS = 3
 LEADERS = 64
 COUNTER_BITS = 22  # counters of the frequency sketch, as a power of two: 16 MB in all, whatever the table's size
+PARITY_WORDS = 4  # 64-bit words of parities a set
+PARITY = [f"parity{i}" for i in range(PARITY_WORDS)]
 BLOCK = 1 << 16
 HELD = 1 << 20
 
@@ -43,6 +45,15 @@ def set_fingerprint(hashes: np.ndarray) -> np.int64:
     return np.packbits(2 * bits > len(hashes), bitorder="little").view("<i8")[0]
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """``PARITY_WORDS`` words; a bit is the parity of the number of shingles that fall on it.
+
+    A shingle in one of two sets turns one bit, so their words differ in at most as many bits as the sets in shingles.
+    """
+    bits = np.bincount((hashes % np.uint64(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def counter(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
 
@@ -99,11 +110,11 @@ def prefix(hashes: np.ndarray, levels: np.ndarray, least: float) -> np.ndarray:
 
 
 def signed_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int, least: float) -> DataFrame:
-    """``at, row, rank, size, set, fp, keys, text``: rows numbered once, with size, digest, fingerprint and prefix of their sets."""
+    """``at, row, rank, size, set, fp, parity, keys, text``: rows numbered once, with what is known of their sets."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     levels = shingle_levels(docs.select(text.alias("text")), shingle)
 
-    @F.pandas_udf("size int, set binary, fp long, keys array<long>")
+    @F.pandas_udf("size int, set binary, fp long, parity array<long>, keys array<long>")
     def signature(text: pd.Series) -> pd.DataFrame:
         from xxhash import xxh128_digest
 
@@ -113,6 +124,7 @@ def signed_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int, least
                 "size": [len(s) for s in sets],
                 "set": [xxh128_digest(s.tobytes()) for s in sets],
                 "fp": [set_fingerprint(s) for s in sets],
+                "parity": [parities(s) for s in sets],
                 "keys": [prefix(s, levels, least).view(np.int64) if len(s) else [] for s in sets],
             }
         )
@@ -155,15 +167,16 @@ def candidates(left: DataFrame, right: DataFrame, apart: Column, least: float) -
     """Distinct pairs of one bucket in different components that can reach the similarity.
 
     With ``place`` the shared shingle's places in the two orders, the sets have at most the shingles from there on in common
-    if no earlier one is shared. Rows with ``before``, the prefix up to there, meet in the first of their common buckets only.
+    if no earlier one is shared. Rows with the words of :func:`parities` differ in no more bits than similar sets in shingles.
     """
     sizes = F.col("l.size") + F.col("r.size")
     ahead = F.least(F.col("l.size") - F.col("l.place"), F.col("r.size") - F.col("r.place"))
     fits = (F.least("l.size", "r.size") >= (least - 1e-9) * F.greatest("l.size", "r.size")) & (
         ahead >= (least / (1 + least) - 1e-9) * sizes
     )
-    if "before" in left.columns:
-        fits = fits & ~F.arrays_overlap("l.before", "r.before")
+    if "parity0" in left.columns:
+        apart_bits = sum(F.bit_count(F.col(f"l.{p}").bitwiseXOR(F.col(f"r.{p}"))) for p in PARITY)
+        fits = fits & (apart_bits <= ((1 - least) / (1 + least) + 1e-9) * sizes)
     pairs = left.alias("l").join(right.alias("r"), "bucket").filter(apart & fits)
     return pairs.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
@@ -246,9 +259,8 @@ def drop_near_copies(
         rest = open_.join(lead.select("bucket", "node"), ["bucket", "node"], "left_anti")
         open_ = mixed(with_components(rest, groups))
         if turn == 0:
-            # from now on a pair meets in its first common bucket; if that is closed, it was met there or is in one component
-            before = F.slice("keys", F.lit(1), F.col("place")).alias("before")
-            open_ = open_.join(rows.select(F.col("at").alias("node"), "keys"), "node").select(*open_.columns, before)
+            words = [F.col("parity")[i].alias(p) for i, p in enumerate(PARITY)]
+            open_ = open_.join(rows.select(F.col("at").alias("node"), *words), "node")
         open_ = materialize(open_, "near_open")
     component = F.col("node")
     if groups is not None:

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from riskframe.llm import exact_dedup, language, mixing, near, packing, pii, quality, simhash, suffix, topk, toxicity
+from riskframe.llm import batches, exact_dedup, language, mixing, near, packing, pii, quality, simhash, suffix, topk, toxicity
 from riskframe.llm import queries as llm
 from tests.llm import brute
 
@@ -640,6 +640,48 @@ def test_similar_pairs_shuffle_only_texts_of_pairs(spark, tmp_path):
     assert plan.count("LeftSemi") >= 2
 
 
+def test_parities_bound_the_difference_of_sets():
+    rng = np.random.default_rng(4)
+    for n, changed in [(1, 1), (40, 3), (300, 30), (300, 300), (5000, 900), (0, 7)]:
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[changed:], rng.integers(0, 1 << 63, changed, dtype=np.uint64)]))
+        bits = int(np.bitwise_count(near.parities(a) ^ near.parities(b)).sum())
+        assert bits <= len(np.setxor1d(a, b))
+        if (n, changed) == (300, 300):  # different texts are told apart
+            assert bits > (len(a) + len(b)) / 9
+
+
+def test_near_dedup_rounds_carry_no_prefixes(spark, monkeypatch):
+    """Texts just above and below the similarity, some with more shingles apart than parities: tables between rounds hold numbers only."""
+    rng = random.Random(12)
+    rows = []
+    for width, places in ((150, range(1, 13)), (3000, (30, 45))):
+        base = sentence(rng, width).split()
+        for i in range(24):
+            words = list(base)
+            for at in rng.sample(range(width), places[i % len(places)]):
+                words[at] = f"new{i}x{at}"
+            rows.append((len(rows), " ".join(words), "a"))
+    kinds, compared = [], []
+
+    def kept(df, name, write=near.materialize):
+        out = write(df, name)
+        if name == "near_open":
+            kinds.append({kind for _, kind in df.dtypes})
+        if name == "near_pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(near, "materialize", kept)
+    batches.prepare(spark)
+    got = near.drop_near_copies(frame(spark, rows)).collect()
+    groups = brute.near_groups([r[1] for r in rows])
+    assert sorted(r["doc_id"] for r in got) == sorted(set(groups))
+    assert 2 < len(got) < len(rows) - 10
+    assert len(kinds) > 1 and set.union(*kinds) <= {"bigint", "int"}
+    assert sum(compared) < 24 * 24
+
+
 def test_pipeline_stages(spark, sf_dir, tokenizer):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [tuple(r) for r in docs.collect()]
