@@ -188,6 +188,19 @@ def with_components(nodes: DataFrame, groups: DataFrame | None) -> DataFrame:
     return nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def grown(groups: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``node, component`` of the groups and of new links; only links between components are followed, once a pair."""
+    if groups is None:
+        return components(links)
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = groups.join(ends, "node", "full").select("node", F.coalesce("component", "node").alias("component"))
+    known = materialize(known, "near_known")
+    of = [known.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"]
+    between = links.join(of[0], "a").join(of[1], "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    roots = components(between).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    return known.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+
+
 def leaders(members: DataFrame, most: int, turn: int) -> DataFrame:
     """One member each of ``most`` components of every bucket: of the smallest component, or of ones chosen by hash."""
     by = members.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min(F.struct(*[c for c in members.columns if c not in ("bucket", "component")])).alias("m"))
@@ -238,7 +251,7 @@ def drop_near_copies(
     members = own.select(F.col("at").alias("node"), "size", F.posexplode("keys").alias("place", "bucket"))
     shared = members.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).filter("n > 1").drop("n")
     open_ = materialize(shared.withColumn("component", F.col("node")), "near_open")
-    links = groups = None
+    groups = None
     for turn in range(LEADER_ROUNDS + 1):
         if turn and open_.isEmpty():
             break
@@ -251,8 +264,7 @@ def drop_near_copies(
             pairs = pairs.union(same).union(close).distinct()
         found = materialize(similar_pairs(pairs, rows, shingle, least), "near_links")
         if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            groups = materialize(components(links), "near_groups")
+            groups = materialize(grown(groups, found), "near_groups")
         if turn == LEADER_ROUNDS:
             break
         # the leaders have met every other member; a bucket in one component is done

@@ -682,6 +682,30 @@ def test_near_dedup_rounds_carry_no_prefixes(spark, monkeypatch):
     assert sum(compared) < 24 * 24
 
 
+def test_components_grow_by_links_between_them(spark, monkeypatch):
+    """Two rounds of random links give the components of all; the second follows links between components only."""
+    rng = random.Random(6)
+    rounds = [[tuple(sorted(rng.sample(range(120), 2))) for _ in range(n)] for n in (70, 25)]
+    rounds[1] += rounds[0][:40]
+    followed, groups, known = [], None, set()
+
+    def count(edges, find=near.components):
+        followed.append(edges.filter("a != b").distinct().count())
+        return find(edges)
+
+    monkeypatch.setattr(near, "components", count)
+    for links in rounds:
+        groups = near.grown(groups, spark.createDataFrame(links, "a long, b long"))
+        known |= set(links)
+        parent = {n: n for pair in known for n in pair}
+        for _ in parent:
+            for a, b in known:
+                parent[a] = parent[b] = min(parent[a], parent[b])
+        rows = groups.collect()
+        assert {r["node"]: r["component"] for r in rows} == parent and len(rows) == len(parent)
+    assert followed[0] == len(set(rounds[0])) and followed[1] <= 25
+
+
 def test_pipeline_stages(spark, sf_dir, tokenizer):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [tuple(r) for r in docs.collect()]
