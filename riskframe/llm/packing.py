@@ -8,7 +8,7 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,8 +21,7 @@ from riskframe.session import materialize
 CAPACITY = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 1_200_000
-ENCODE_WORDS = 5_000
+CACHED_WORDS = 150_000
 CHUNK_CHARS = 2_000_000
 PIECES_PER_PART = 250_000
 MAX_ROUNDS = 3
@@ -52,12 +51,31 @@ PLAIN_WORD = re.compile(f"[!-~À-ÖØ-Þ{LETTERS}]*")  # no marks to compose, on
 PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
 
 
+class Codes(dict):
+    """Codes by word, made when first looked up. When ``CACHED_WORDS`` are held they become the old half, which goes at the next
+    such time; words in use come back from it."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make = make
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        code = self.old.get(word)
+        if code is None:
+            code = self.make(word)
+        if len(self) >= CACHED_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = code
+        return code
+
+
 class WordTokenizer:
     """Token ids of whole texts for a tokenizer that drops white space and never merges across it.
 
-    Such a tokenizer gives the ids of a text as those of its words in turn, so every distinct word is
-    encoded once. If it is known to cut words (``WORD_CUTS``) and to encode each part by itself, words of ASCII and Latin-1 letters are
-    put together from their parts, of which there are far fewer. Stores are emptied when they hold ``CACHED_WORDS``.
+    Such a tokenizer gives the ids of a text as those of its words in turn, so a word is encoded when it is first met. If it is
+    known to cut words (``WORD_CUTS``) and to encode each part by itself, words of ASCII and Latin-1 letters are put together from
+    their parts, of which there are far fewer, and a part goes to the tokenizer's model alone.
     """
 
     open_tokenizers: dict[str, WordTokenizer] = {}  # of this worker process, over all its tasks
@@ -65,21 +83,38 @@ class WordTokenizer:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on every core already
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             settings = json.load(f)
         self.in_parts = all(settings[k] == v for k, v in WORD_CUTS.items())
-        self.added = {t["content"].lower() for t in settings["added_tokens"]}
-        self.parts: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
-
-    def parts_of(self, word: str) -> list[str]:
+        self.added = re.compile("|".join(re.escape(t["content"].lower()) for t in settings["added_tokens"]) or "(?!)")
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}  # the others stand for themselves
+        self.model = self.tokenizer.model
+        self.parts = Codes(self.encode_part)
+        self.known = Codes(self.encode_word)
+
+    def parts_of(self, word: str) -> list[str] | None:
         if self.in_parts and PLAIN_WORD.fullmatch(word):
             lower = word.lower()
-            if not any(t in lower for t in self.added):
-                return PARTS.findall(lower)
-        return [word]
+            if lower == word:
+                lower = word  # a part that is the word is kept once
+            if not self.added.search(lower):
+                return [lower] if lower.isalpha() else PARTS.findall(lower)
+        return None
+
+    def encode_part(self, part: str) -> bytes:
+        tokens = self.model.tokenize(part if part.isascii() else part.translate(self.letters))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def encode_word(self, word: str) -> bytes:
+        parts = self.parts_of(word)
+        if parts is not None:
+            return b"".join(map(self.parts.__getitem__, parts))
+        (code,) = self.tokenizer.encode_batch_fast([word], add_special_tokens=False)
+        return struct.pack(f"<{len(code)}I", *code.ids)
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -89,24 +124,9 @@ class WordTokenizer:
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]  # other white space stays inside words
-        known, parts = self.known, self.parts
-        for store in (known, parts):
-            if len(store) > CACHED_WORDS:
-                store.clear()
-        codes = [list(map(known.get, words)) for words in split]  # the look-up is what takes time, so once a word
-        open_texts = [(words, own) for words, own in zip(split, codes) if None in own]
-        cut = {w: self.parts_of(w) for w in {w for words, own in open_texts for w, c in zip(words, own) if c is None}}
-        new = list({p for own in cut.values() for p in own if p not in parts})
-        for at in range(0, len(new), ENCODE_WORDS):
-            some = new[at : at + ENCODE_WORDS]
-            for part, code in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                parts[part] = struct.pack(f"<{len(code)}I", *code.ids)
-        for w, own in cut.items():
-            known[w] = b"".join(map(parts.__getitem__, own))
-        for words, own in open_texts:
-            own[:] = [known[w] if c is None else c for w, c in zip(words, own)]
-        yield from map(b"".join, codes)
+        for text in texts:
+            words = text.replace("\n", " ").replace("\t", " ").split(" ")  # other white space stays inside words
+            yield b"".join(map(self.known.__getitem__, words))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:

@@ -1,6 +1,9 @@
 import collections
+import itertools
 import random
 import re
+import string
+import tracemalloc
 import zlib
 
 import duckdb
@@ -497,6 +500,27 @@ def test_words_of_known_parts_are_not_encoded_again(tokenizer):
     assert words.in_parts and len(words.parts) == seen + 1  # the exclamation mark
 
 
+def test_a_worker_keeps_few_words(monkeypatch):
+    """Kept words are bounded inside a text too, and the two stores fit beside the JVM; words in use stay."""
+    names = ["".join(n) for n in itertools.product("abcdefghij", *[string.ascii_letters[:33]] * 3)]
+    words = packing.WordTokenizer(packing.tokenizer_path())
+    tracemalloc.start()
+    for end in ".,":
+        list(words.ids([" ".join(n + end for n in names[at : at + 10_000]) for at in range(0, len(names), 10_000)]))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 80e6
+    monkeypatch.setattr(packing, "CACHED_WORDS", 10)
+    words = packing.WordTokenizer(packing.tokenizer_path())
+    text = " ".join(f"often {n}" for n in names[:1_000])
+    list(words.ids([text]))
+    assert len(words.known) <= 10 and len(words.parts) <= 10
+    made = collections.Counter()
+    words.known.make = lambda w, make=words.known.make: made.update([w]) or make(w)
+    list(words.ids([text]))
+    assert max(len(words.known.old), len(words.parts.old)) <= 10 and made["often"] == 0
+
+
 def test_bounds_and_best_fit():
     rng = np.random.default_rng(0)
     for high in (10, 40, 100):
