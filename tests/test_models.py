@@ -9,12 +9,15 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from riskframe.operators import attribution, learning, registry
 from riskframe.operators.versioning import load_version, narrowed, register_reference, save_version
 from riskframe.plans.models import audit, promote_job, train_job
 from riskframe.plans.datasets import build_dataset
+from riskframe.session import ROWS_PER_TASK, spread
 
 
 @pytest.fixture(scope="module")
@@ -155,6 +158,41 @@ def test_tree_attributions(spark, forest):
         np.testing.assert_allclose(r["attributions"], want, atol=1e-9)
 
 
+def test_tree_attributions_look_leaves_up_together(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 5))
+    y = (x[:, 0] * x[:, 1] + x[:, 2] > 0).astype(int)
+    df = spark.createDataFrame([(*map(float, r), int(t)) for r, t in zip(x, y)], "f0 double, f1 double, f2 double, f3 double, f4 double, y int")
+    df = VectorAssembler(inputCols=[f"f{i}" for i in range(5)], outputCol="_features", handleInvalid="keep").transform(df)
+    model = GBTClassifier(featuresCol="_features", labelCol="y", maxIter=4, maxDepth=6, seed=1).fit(df)
+    odd = [[np.nan] * 5, [-np.inf] * 5, [np.inf] * 5, [0.0, np.nan, 1.0, np.inf, -np.inf]]
+    odd = spark.createDataFrame([Row(_features=DenseVector(r)) for r in odd])
+    df = df.select("_features").unionByName(odd)
+    _, _, tables, single = attribution._packed(attribution.tree_leaves(model))
+    leaves = sum(len(tree) for tree in attribution.tree_leaves(model))
+    assert not single and len(tables) * 4 < leaves  # a row does not visit every leaf
+    assert all(table.shape[1] <= max(attribution.CELLS) for _, _, table in tables)
+
+    def explained(limits):
+        monkeypatch.setattr(attribution._packed, "__defaults__", (limits,))
+        out, base = attribution.tree_attributions(model, df)
+        return np.array([r[0] for r in out.select("attributions").collect()]), base
+
+    one_by_one, base = explained(())  # every leaf integrated for every row
+    for limits in [attribution.CELLS, (64,), (8,)]:  # 8: some leaves in tables, some integrated
+        together, same = explained(limits)
+        assert same == base
+        np.testing.assert_allclose(together, one_by_one, atol=1e-12)
+
+
+def test_rows_to_train_on_use_every_core(spark):
+    rows = spread(spark.range(1000).coalesce(1), 1000)
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    parts = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == spark.sparkContext.defaultParallelism and max(r["count"] for r in parts) < 300
+    assert spread(spark.range(10), 30 * ROWS_PER_TASK).rdd.getNumPartitions() >= 30
+
+
 def test_versions(spark, tmp_path):
     root = str(tmp_path / "versions")
     df = spark.createDataFrame([(1, 2.0, "a"), (2, None, "b")], "i int, x double, t string")
