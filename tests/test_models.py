@@ -13,7 +13,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from riskframe.operators import attribution, learning, registry
+from riskframe.operators import attribution, learning, logistic, registry
 from riskframe.operators.versioning import load_version, narrowed, register_reference, save_version
 from riskframe.plans.models import audit, promote_job, train_job
 from riskframe.plans.datasets import build_dataset
@@ -193,6 +193,32 @@ def test_rows_to_train_on_use_every_core(spark):
     assert spread(spark.range(10), 30 * ROWS_PER_TASK).rdd.getNumPartitions() >= 30
 
 
+@pytest.mark.parametrize("params", [{"penalty": "l2", "C": 0.5}, {"penalty": "l1", "C": 0.05}, {"penalty": "elasticnet", "l1_ratio": 0.3, "C": 20.0}])
+def test_folds_are_fitted_in_the_same_passes(frame, monkeypatch, params):
+    table = learning.vectors(frame, "default", "loan_id", 3)
+    blocks = logistic.fold_blocks(table, "default", learning.FEATURES)
+    passes, summed = [], logistic._summed
+    monkeypatch.setattr(logistic, "_summed", lambda *args: passes.append(1) or summed(*args))
+    for weighted in (False, True):
+        fitted = logistic.fit_folds(blocks, 3, {**learning.DEFAULTS["logistic_regression"], **params}, weighted)
+        for f, (coefficients, intercept) in enumerate(fitted):
+            training, n = learning.with_weights(table.filter(F.col("fold") != f), "logistic_regression", "default", balanced=weighted)
+            want = learning.classifier("logistic_regression", n, "default", **params).setTol(1e-12).fit(training)
+            np.testing.assert_allclose([*coefficients, intercept], [*want.coefficients.toArray(), want.intercept], atol=1e-5)
+    assert len(passes) <= 2 * 12  # not some twenty for each of six models
+
+
+def test_folds_that_need_sparks_own_trainer(spark, frame):
+    table = learning.vectors(frame, "default", "loan_id", 3)
+    params = learning.DEFAULTS["logistic_regression"]
+    for odd in [table.filter("default = 1"), table.withColumn("default", F.col("default") + 1), table.limit(0)]:
+        assert logistic.fit_folds(logistic.fold_blocks(odd, "default", learning.FEATURES), 3, params, False) is None
+    assert learning.cv_rows(table.filter("default = 1"), "logistic_regression", "default", 3, {}).filter("p = 1").count() > 0
+    lost = table.withColumn("fold", F.when(F.col("fold") > 0, F.col("fold")))  # rows without a fold take no part
+    blocks = logistic.fold_blocks(lost, "default", learning.FEATURES)
+    assert blocks.agg(F.sum("rows")).first()[0] == table.filter("fold > 0").count()
+
+
 def test_versions(spark, tmp_path):
     root = str(tmp_path / "versions")
     df = spark.createDataFrame([(1, 2.0, "a"), (2, None, "b")], "i int, x double, t string")
