@@ -334,16 +334,20 @@ STREAM_RECORD = """SELECT loan_id, model_type, model_version, CASE WHEN pd > 0.5
   round(pd, 6) AS probability_default, CASE WHEN pd > 0.7 THEN 'high' WHEN pd > 0.3 THEN 'medium' ELSE 'low' END AS risk_level"""
 
 
+ROW_GROUP = 16 * 2**20
+
+
 def _run_scoring(spark, sf_dir, batches: int = 4, **options) -> ScoringTables:
     """Score all messages; the second copies arrive in files of their own, after the first."""
     source = new_path(spark, "messages")
-    rows = fx.raw_messages(spark, sf_dir)
-    first = rows.dropDuplicates(["o_orderkey"])
-    first.repartition(batches - 1, "o_orderkey").write.parquet(source)
+    rows = fx.message_rows(spark, sf_dir)
+    # dealt to their files as typed rows, which become texts where they are written; row groups that several tasks can read
+    each = {} if "repeats_within" in options else {"maxFilesPerTrigger": "1"}
+    first = (rows.repartition(batches - 1, "o_orderkey") if each else rows).dropDuplicates(["o_orderkey"])
+    fx.message_texts(first).write.option("parquet.block.size", ROW_GROUP).parquet(source)
     again = rows.filter(F.col("o_orderkey") % 50 == 0).dropDuplicates(["o_orderkey"])
-    again.coalesce(1).write.mode("append").parquet(source)
+    fx.message_texts(again).coalesce(1).write.option("parquet.block.size", ROW_GROUP).mode("append").parquet(source)
     tables = ScoringTables.under(new_path(spark, "scoring"))
-    each = {} if "repeats_within" in options else {"maxFilesPerTrigger": "1"}
     messages = file_messages(spark, source, "o_orderkey bigint, ts timestamp, value string", **each).withColumnRenamed(
         "o_orderkey", "message_id"
     )

@@ -4,7 +4,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from riskframe import session
 from riskframe.catalog.serving import served
+from riskframe.functions.ordered import with_bucket
 from riskframe.operators import service
 from riskframe.schemas import REQUEST_RULES
 from riskframe.streaming.jobs import ScoringTables, feature_state, score_batch, score_stream
@@ -106,6 +108,27 @@ def test_stream_equals_batches(spark, tmp_path):
     assert log.select("batch_id").distinct().count() == 4 and log.count() == 20
 
 
+def test_a_scoring_stream_leaves_no_scratch_files(spark, tmp_path, monkeypatch):
+    source, work = str(tmp_path / "in"), tmp_path / "work"
+    messages(spark, [(i, i, json.dumps(request(str(i % 7), dti=float(i)))) for i in range(40)]).repartition(2).write.parquet(source)
+    monkeypatch.setattr(session, "work_dir", lambda spark: str(work))
+    tables = ScoringTables.under(str(tmp_path / "out"))
+    stream = file_messages(spark, source, "message_id long, ts timestamp, value string", maxFilesPerTrigger="1")
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    running = score_stream(stream, tables, available_now=True, champion=served("champion"))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == before
+    running.awaitTermination()
+    assert read_batches(spark, tables.predictions).count() == 40
+    assert work.exists() and list(work.iterdir()) == []  # time lines of a batch go with it
+
+
+def test_ranges_replace_the_rows_they_were_cut_from(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "work_dir", lambda spark: str(tmp_path))
+    rows = with_bucket(spark.range(1000).withColumn("key", F.col("id") % 3), ["key"], ["id"], rows_per_bucket=100)
+    assert rows.count() == 1000 and rows.select("bucket").distinct().count() == 10
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["ranges"]
+
+
 def test_one_batch_or_many_serve_alike(spark, tmp_path):
     """Requests of few loans, some minutes apart, some more than an hour."""
     rows = [(i, 1500 * i, json.dumps(request("abc"[i % 3] if i % 7 else "a", dti=float(i)))) for i in range(24)]
