@@ -122,6 +122,17 @@ def test_a_scoring_stream_leaves_no_scratch_files(spark, tmp_path, monkeypatch):
     assert work.exists() and list(work.iterdir()) == []  # time lines of a batch go with it
 
 
+def test_ids_of_a_stream_without_repeats_lie_on_disk(spark, tmp_path):
+    source = str(tmp_path / "in")
+    messages(spark, [(i % 30, i, json.dumps(request(str(i % 30)))) for i in range(60)]).write.parquet(source)
+    tables = ScoringTables.under(str(tmp_path / "out"))
+    stream = file_messages(spark, source, "message_id long, ts timestamp, value string")
+    score_stream(stream, tables, available_now=True, repeats_within="10 minutes", champion=served("champion")).awaitTermination()
+    assert read_batches(spark, tables.predictions).count() == 30
+    state = [p.name for p in (tmp_path / "out" / "checkpoint" / "state").rglob("*")]
+    assert any(n.endswith((".changelog", ".zip")) for n in state) and not any(n.endswith((".delta", ".snapshot")) for n in state)
+
+
 def test_ranges_replace_the_rows_they_were_cut_from(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "work_dir", lambda spark: str(tmp_path))
     rows = with_bucket(spark.range(1000).withColumn("key", F.col("id") % 3), ["key"], ["id"], rows_per_bucket=100)
