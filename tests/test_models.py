@@ -17,7 +17,7 @@ from riskframe.operators import attribution, learning, logistic, registry
 from riskframe.operators.versioning import load_version, narrowed, register_reference, save_version
 from riskframe.plans.models import audit, promote_job, train_job
 from riskframe.plans.datasets import build_dataset
-from riskframe.session import ROWS_PER_TASK, spread
+from riskframe.session import FEW_ROWS, ROWS_PER_TASK, spread
 
 
 @pytest.fixture(scope="module")
@@ -186,7 +186,9 @@ def test_tree_attributions_look_leaves_up_together(spark, monkeypatch):
 
 
 def test_rows_to_train_on_use_every_core(spark):
-    rows = spread(spark.range(1000).coalesce(1), 1000)
+    few = spark.range(1000).coalesce(1)
+    assert spread(few, 1000) is few
+    rows = spread(few, FEW_ROWS + 1)
     assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     parts = rows.groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) == spark.sparkContext.defaultParallelism and max(r["count"] for r in parts) < 300
